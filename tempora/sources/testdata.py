@@ -10,7 +10,7 @@ reference on items.
 
 Each order yields up to six purchase events. They are produced in ONE scan of
 ``orders``: every candidate version is a ``when(cond, struct)`` in an array,
-NULLs are filtered out and the array is exploded (a codegen'd Generate), so
+the array is exploded and NULL versions dropped (codegen'd Generate), so
 the scan is not repeated once per version as a UNION ALL would do.
 
 Notation: k = o_orderkey, D = o_orderdate (midnight), e0 = D + (k % 24) hours,
@@ -21,98 +21,123 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora import schemas as S
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+# Fixed schemas of the test tables, restricted to the columns the logs use.
+# Declaring them skips parquet schema inference (a footer-reading job per read)
+# and keeps the column types stable.
+TEST_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP_NTZ",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
+
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read a test table with its declared schema (no inference)."""
+    reader = spark.read.schema(TEST_SCHEMAS[name]) if name in TEST_SCHEMAS else spark.read
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
-def _iv(days: int = 0, hours: int = 0, mins: int = 0) -> Column:
-    return F.make_dt_interval(F.lit(days), F.lit(hours), F.lit(mins))
 
+def _explode_versions(df: DataFrame, versions: list[tuple[str, dict[str, str]]], keep: list[str]) -> DataFrame:
+    """One output row per (input row, version whose condition holds).
 
-def _explode_versions(df: DataFrame, versions: list[tuple[Column, dict]], keep: list[str]) -> DataFrame:
-    """One output row per (input row, version whose condition holds)."""
+    Versions are SQL expressions: each becomes ``CASE WHEN cond THEN
+    named_struct(...) END`` in one array; explode + ``IS NOT NULL`` keeps the
+    live ones. It stays in whole-stage codegen (a filter() lambda would not),
+    and the whole projection is one parsed expression, not hundreds of
+    Column calls from the driver.
+    """
     names = list(versions[0][1].keys())
-    structs = [F.when(cond, F.struct(*[cols[n].alias(n) for n in names])) for cond, cols in versions]
-    arr = F.filter(F.array(*structs), lambda v: v.isNotNull())
-    return df.select(*keep, F.explode(arr).alias("_v")).select(*keep, *[F.col("_v")[n].alias(n) for n in names])
-
-
-def _order_terms(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    d = F.col("o_orderdate").cast("timestamp_ntz")
-    return orders.select(
-        k.alias("k"),
-        d.alias("D"),
-        (d + F.make_dt_interval(F.lit(0), (k % 24).cast("int"))).alias("e0"),
-        (F.year(d) * 100 + F.month(d)).cast("long").alias("ym"),
-        d.cast("date").alias("od"),
-        "o_custkey", "o_orderstatus", "o_totalprice",
-    )
+    structs = []
+    for cond, cols in versions:
+        fields = ", ".join(f"'{n}', {cols[n]}" for n in names)
+        structs.append(f"CASE WHEN {cond} THEN named_struct({fields}) END")
+    arr = "explode(array(" + ", ".join(structs) + ")) AS _v"
+    return (df.selectExpr(*keep, arr).where("_v IS NOT NULL")
+              .selectExpr(*keep, *[f"_v.{n} AS {n}" for n in names]))
+
+
+# Order terms: k, D (midnight), e0 = D + (k % 24) hours, ym = yyyymm, od = order day.
+_ORDER_TERMS = [
+    "o_orderkey AS k",
+    "o_orderdate AS D",
+    "o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS INT)) AS e0",
+    "CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS ym",
+    "CAST(o_orderdate AS DATE) AS od",
+    "o_custkey", "o_orderstatus", "o_totalprice",
+]
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(*_ORDER_TERMS)
+
+
+def _purchase_version(op: str, status: str, release: str, event_ts: str, ingestion_ts: str) -> dict[str, str]:
+    return {"op": f"'{op}'", "purchase_status": status, "release_date": release,
+            "event_ts": event_ts, "ingestion_ts": ingestion_ts}
+
+
+_PURCHASE_VERSIONS = [
+    ("TRUE", _purchase_version(
+        "c", "CASE WHEN k % 29 = 5 THEN CAST(NULL AS STRING) WHEN o_orderstatus = 'O' THEN 'INICIADA' "
+             "ELSE 'APROVADA' END",
+        "CASE WHEN o_orderstatus = 'O' THEN CAST(NULL AS DATE) ELSE od END", "e0", "e0 + INTERVAL '1' DAY")),
+    ("o_orderstatus = 'O' AND k % 3 = 0", _purchase_version(
+        "u", "'APROVADA'", "od", "e0 + INTERVAL '5' MINUTE", "D + INTERVAL '15' DAY")),
+    ("k % 10 = 2", _purchase_version(
+        "u", "'CANCELADA'", "od", "e0 + INTERVAL '3' HOUR", "D + INTERVAL '20' DAY")),
+    ("k % 17 = 0", _purchase_version(
+        "u", "'REEMBOLSADA'", "od", "e0 + INTERVAL '4' HOUR", "D + INTERVAL '40' DAY")),
+    ("k % 50 = 7", _purchase_version(
+        "d", "'APROVADA'", "od", "e0 + INTERVAL '6' HOUR", "e0 + INTERVAL '30' DAY")),
+    ("k % 13 = 0", _purchase_version(
+        "u", "'APROVADA'", "od", "e0 - INTERVAL '1' HOUR", "e0 + INTERVAL '25' DAY")),
+]
 
 
 def purchase_cdc(spark: SparkSession, sf_dir: str, derived: bool = False) -> DataFrame:
-    o = _order_terms(table(spark, sf_dir, "orders"))
-    k, e0, D, od = F.col("k"), F.col("e0"), F.col("D"), F.col("od")
-    is_open = F.col("o_orderstatus") == "O"
-    null_date = F.lit(None).cast("date")
-
-    def v(op, status, release, event_ts, ingestion_ts):
-        return {"op": F.lit(op), "purchase_status": status, "release_date": release,
-                "event_ts": event_ts, "ingestion_ts": ingestion_ts}
-
-    first_status = (F.when(k % 29 == 5, F.lit(None).cast("string"))
-                    .when(is_open, F.lit("INICIADA")).otherwise(F.lit("APROVADA")))
-    versions = [
-        (F.lit(True), v("c", first_status, F.when(is_open, null_date).otherwise(od), e0, e0 + _iv(1))),
-        (is_open & (k % 3 == 0), v("u", F.lit("APROVADA"), od, e0 + _iv(mins=5), D + _iv(15))),
-        (k % 10 == 2, v("u", F.lit("CANCELADA"), od, e0 + _iv(hours=3), D + _iv(20))),
-        (k % 17 == 0, v("u", F.lit("REEMBOLSADA"), od, e0 + _iv(hours=4), D + _iv(40))),
-        (k % 50 == 7, v("d", F.lit("APROVADA"), od, e0 + _iv(hours=6), e0 + _iv(30))),
-        (k % 13 == 0, v("u", F.lit("APROVADA"), od, e0 - _iv(hours=1), e0 + _iv(25))),
-    ]
-    x = _explode_versions(o, versions, ["k", "ym", "od", "o_custkey", "o_totalprice"])
-    out = x.select(
-        F.col("k").alias("purchase_id"),
-        F.col("ym").alias("purchase_partition"),
-        F.col("o_custkey").alias("buyer_id"),
-        F.lit(None).cast("long").alias("prod_item_id"),
-        F.lit(None).cast("long").alias("prod_item_partition"),
-        F.lit(None).cast("long").alias("producer_id"),
-        F.col("od").alias("order_date"),
-        "release_date",
-        F.col("o_totalprice").cast(S.MONEY).alias("purchase_total_value"),
+    x = _explode_versions(_orders(spark, sf_dir), _PURCHASE_VERSIONS, ["k", "ym", "od", "o_custkey", "o_totalprice"])
+    out = x.selectExpr(
+        "k AS purchase_id", "ym AS purchase_partition", "o_custkey AS buyer_id",
+        "CAST(NULL AS BIGINT) AS prod_item_id", "CAST(NULL AS BIGINT) AS prod_item_partition",
+        "CAST(NULL AS BIGINT) AS producer_id", "od AS order_date", "release_date",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS purchase_total_value",
         "purchase_status", "op", "event_ts", "ingestion_ts",
     )
     return with_ingest_day(out) if derived else out
 
 
+_EXTRA_VERSIONS = [
+    ("k % 37 <> 3", {"op": "'c'", "subsidiary": "r_name", "event_ts": "e0",
+                     "ingestion_ts": "e0 + INTERVAL '1' DAY + INTERVAL '1' MINUTE"}),
+    ("k % 8 = 1", {"op": "'u'", "subsidiary": "n_name", "event_ts": "e0 + INTERVAL '30' MINUTE",
+                   "ingestion_ts": "e0 + INTERVAL '18' DAY"}),
+    ("k % 41 = 6", {"op": "'d'", "subsidiary": "r_name", "event_ts": "e0 + INTERVAL '45' MINUTE",
+                    "ingestion_ts": "e0 + INTERVAL '19' DAY"}),
+]
+
+
 def extra_cdc(spark: SparkSession, sf_dir: str, derived: bool = False) -> DataFrame:
-    o = _order_terms(table(spark, sf_dir, "orders")).select("k", "ym", "e0", "o_custkey")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    geo = (table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-           .join(table(spark, sf_dir, "region").select("r_regionkey", "r_name"),
-                 F.col("n_regionkey") == F.col("r_regionkey")))
+    o = _orders(spark, sf_dir).select("k", "ym", "e0", "o_custkey")
+    cust = table(spark, sf_dir, "customer")
+    # nation x region is fixed-size (25 x 5 rows in the TPC-H model); the
+    # planner broadcasts it from file statistics.
+    geo = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"),
+                                              F.col("n_regionkey") == F.col("r_regionkey"))
     j = (o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
          .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
-    k, e0 = F.col("k"), F.col("e0")
-
-    def v(op, sub, event_ts, ingestion_ts):
-        return {"op": F.lit(op), "subsidiary": sub, "event_ts": event_ts, "ingestion_ts": ingestion_ts}
-
-    versions = [
-        (k % 37 != 3, v("c", F.col("r_name"), e0, e0 + _iv(1, 0, 1))),
-        (k % 8 == 1, v("u", F.col("n_name"), e0 + _iv(mins=30), e0 + _iv(18))),
-        (k % 41 == 6, v("d", F.col("r_name"), e0 + _iv(mins=45), e0 + _iv(19))),
-    ]
-    x = _explode_versions(j, versions, ["k", "ym"])
-    out = x.select(F.col("k").alias("purchase_id"), F.col("ym").alias("purchase_partition"),
-                   "subsidiary", "op", "event_ts", "ingestion_ts")
+    x = _explode_versions(j, _EXTRA_VERSIONS, ["k", "ym"])
+    out = x.selectExpr("k AS purchase_id", "ym AS purchase_partition", "subsidiary", "op", "event_ts",
+                       "ingestion_ts")
     return with_ingest_day(out) if derived else out
 
 
@@ -123,53 +148,49 @@ def item_cdc(spark: SparkSession, sf_dir: str, derived: bool = False, distinct:
     pick of the latest version (a replayed event is the same row), so the
     snapshot path skips that shuffle.
     """
-    o = _order_terms(table(spark, sf_dir, "orders")).select("k", "ym")
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate")
+    o = _orders(spark, sf_dir).select("k", "ym")
+    li = table(spark, sf_dir, "lineitem")
     j = li.join(o, F.col("l_orderkey") == F.col("k"))
-    pk = F.col("l_partkey")
-    event_ts = F.col("l_shipdate").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("l_linenumber"))
-    out = j.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("prod_item_id"),
-        F.col("ym").alias("prod_item_partition"),
-        F.when(pk % 101 == 0, F.lit(None).cast("long")).otherwise(F.col("l_orderkey")).alias("purchase_id"),
-        F.col("ym").alias("purchase_partition"),
-        pk.alias("product_id"),
-        F.when(pk % 97 == 0, F.lit(None).cast("int")).otherwise(F.col("l_quantity").cast("int")).alias("item_quantity"),
-        F.when(pk % 89 == 0, F.lit(None).cast(S.MONEY))
-         .otherwise(F.col("l_extendedprice").cast(S.MONEY)).alias("purchase_value"),
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_suppkey") % 20 == 0), F.lit("d"))
-         .otherwise(F.lit("c")).alias("op"),
-        event_ts.alias("event_ts"),
-        (event_ts + _iv(1) + F.make_dt_interval(F.lit(0), F.lit(0), pk.cast("int"))).alias("ingestion_ts"),
+    ev = "(l_shipdate + make_dt_interval(0, l_linenumber))"
+    out = j.selectExpr(
+        "l_orderkey * 10 + l_linenumber AS prod_item_id",
+        "ym AS prod_item_partition",
+        "CASE WHEN l_partkey % 101 = 0 THEN CAST(NULL AS BIGINT) ELSE l_orderkey END AS purchase_id",
+        "ym AS purchase_partition",
+        "l_partkey AS product_id",
+        "CASE WHEN l_partkey % 97 = 0 THEN CAST(NULL AS INT) ELSE CAST(l_quantity AS INT) END AS item_quantity",
+        "CASE WHEN l_partkey % 89 = 0 THEN CAST(NULL AS DECIMAL(18,2)) "
+        "ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS purchase_value",
+        "CASE WHEN l_returnflag = 'R' AND l_suppkey % 20 = 0 THEN 'd' ELSE 'c' END AS op",
+        f"{ev} AS event_ts",
+        f"{ev} + INTERVAL '1' DAY + make_dt_interval(0, 0, CAST(l_partkey AS INT)) AS ingestion_ts",
     )
     if distinct:
         out = out.distinct()
     return with_ingest_day(out) if derived else out
 
 
+_COST_VERSIONS = [
+    ("k % 9 <> 4", {"op": "'c'", "order_transaction_cost_vat_value": "CAST(k % 500 AS DECIMAL(18,2))",
+                    "order_transaction_cost_installment_value":
+                        "CASE WHEN k % 7 = 0 THEN CAST(NULL AS DECIMAL(18,2)) "
+                        "ELSE CAST(o_custkey % 50 AS DECIMAL(18,2)) END",
+                    "event_ts": "e0", "ingestion_ts": "e0 + INTERVAL '1' DAY"}),
+    ("k % 6 = 0", {"op": "'u'", "order_transaction_cost_vat_value": "CAST(k % 300 AS DECIMAL(18,2))",
+                   "order_transaction_cost_installment_value": "CAST(o_custkey % 50 AS DECIMAL(18,2))",
+                   "event_ts": "e0", "ingestion_ts": "e0 + INTERVAL '16' DAY"}),
+    ("k % 31 = 2", {"op": "'d'", "order_transaction_cost_vat_value": "CAST(0 AS DECIMAL(18,2))",
+                    "order_transaction_cost_installment_value": "CAST(1 AS DECIMAL(18,2))",
+                    "event_ts": "e0 + INTERVAL '1' HOUR", "ingestion_ts": "e0 + INTERVAL '17' DAY"}),
+]
+
+
 def cost_cdc(spark: SparkSession, sf_dir: str, derived: bool = False) -> DataFrame:
-    o = _order_terms(table(spark, sf_dir, "orders"))
-    k, e0 = F.col("k"), F.col("e0")
-    cust_mod = (F.col("o_custkey") % 50).cast(S.MONEY)
-
-    def v(op, vat, inst, event_ts, ingestion_ts):
-        return {"op": F.lit(op), "order_transaction_cost_vat_value": vat.cast(S.MONEY),
-                "order_transaction_cost_installment_value": inst.cast(S.MONEY),
-                "event_ts": event_ts, "ingestion_ts": ingestion_ts}
-
-    versions = [
-        (k % 9 != 4, v("c", k % 500, F.when(k % 7 == 0, F.lit(None)).otherwise(cust_mod), e0, e0 + _iv(1))),
-        (k % 6 == 0, v("u", k % 300, cust_mod, e0, e0 + _iv(16))),
-        (k % 31 == 2, v("d", F.lit(0), F.lit(1), e0 + _iv(hours=1), e0 + _iv(17))),
-    ]
-    x = _explode_versions(o, versions, ["k", "ym", "od"])
-    out = x.select(
-        F.col("k").alias("purchase_id"), F.col("ym").alias("purchase_partition"),
+    x = _explode_versions(_orders(spark, sf_dir), _COST_VERSIONS, ["k", "ym", "od"])
+    out = x.selectExpr(
+        "k AS purchase_id", "ym AS purchase_partition",
         "order_transaction_cost_vat_value", "order_transaction_cost_installment_value",
-        F.col("od").alias("order_transaction_cost_date"),
-        "op", "event_ts", "ingestion_ts",
+        "od AS order_transaction_cost_date", "op", "event_ts", "ingestion_ts",
     )
     return with_ingest_day(out) if derived else out
 
