@@ -40,15 +40,18 @@ def items_by_purchase(items_latest: DataFrame, by: Sequence[str] = ()) -> DataFr
 
 
 def eligible_purchases(purchase_latest: DataFrame, extra_latest: DataFrame, items_sum: DataFrame,
-                       by: Sequence[str] = ()) -> DataFrame:
+                       by: Sequence[str] = (), honor_deletes: bool = False) -> DataFrame:
     """Purchases that count as GMV at the cutoff, with their day and subsidiary.
 
     Inner joins: a purchase without extra info or without a live item is out.
-    Extra info is taken whatever its ``op`` (a deleted subsidiary still counts).
+    Extra info is taken whatever its ``op`` (a deleted subsidiary still counts);
+    ``honor_deletes=True`` drops purchases whose extra-info winner is a delete.
     """
     keys = [*by, *PK]
     p = purchase_latest.where(purchase_eligible()).select(
         *keys, F.col("order_date").alias("transaction_date"), F.col("ingestion_ts").alias("_p_ing"))
+    if honor_deletes:
+        extra_latest = extra_latest.where(not_deleted())
     e = extra_latest.select(*keys, "subsidiary", F.col("ingestion_ts").alias("_e_ing"))
     j = p.join(e, keys).join(items_sum, keys)
     return j.select(
@@ -67,9 +70,9 @@ def silver(logs: Mapping[str, DataFrame], cutoff) -> dict[str, DataFrame]:
     }
 
 
-def eligible_at(logs: Mapping[str, DataFrame], cutoff) -> DataFrame:
+def eligible_at(logs: Mapping[str, DataFrame], cutoff, honor_deletes: bool = False) -> DataFrame:
     s = silver(logs, cutoff)
-    return eligible_purchases(s["purchase"], s["extra"], items_by_purchase(s["item"]))
+    return eligible_purchases(s["purchase"], s["extra"], items_by_purchase(s["item"]), honor_deletes=honor_deletes)
 
 
 def aggregate_snapshot(eligible: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -80,9 +83,9 @@ def aggregate_snapshot(eligible: DataFrame, by: Sequence[str] = ()) -> DataFrame
                  F.max("max_ingestion_ts").alias("source_max_ingestion_ts")))
 
 
-def gmv_snapshot(logs: Mapping[str, DataFrame], run: RunParams) -> DataFrame:
+def gmv_snapshot(logs: Mapping[str, DataFrame], run: RunParams, honor_deletes: bool = False) -> DataFrame:
     """One full GOLD snapshot for ``run``, in the GOLD column order."""
-    agg = aggregate_snapshot(eligible_at(logs, run.cutoff_ts))
+    agg = aggregate_snapshot(eligible_at(logs, run.cutoff_ts, honor_deletes))
     return agg.select(
         "transaction_date", "subsidiary", date_lit(run.as_of_date).alias("as_of_date"),
         "gmv_amount", "purchases_count", "source_max_ingestion_ts", F.lit(run.run_id).alias("run_id"))

@@ -95,19 +95,28 @@ class GoldTable:
         return per_key.agg(F.coalesce(F.sum("null_rows"), F.lit(0)).alias("null_rows"),
                            F.coalesce(F.sum(F.when(F.col("n") > 1, 1).otherwise(0)), F.lit(0)).alias("dup_keys"))
 
-    def append(self, snapshot: DataFrame) -> None:
-        """Check, then append one or more full snapshots."""
-        snap = snapshot.select(*S.GOLD_COLUMNS).persist()
-        try:
-            v = self.violations(snap).first()
-            if v["null_rows"] or v["dup_keys"]:
-                raise SnapshotError(f"snapshot breaks GOLD constraints: {v.asDict()}")
-            if self.collisions(snap).take(1):
-                raise SnapshotError("snapshot already stored: a run is never rewritten")
-            (snap.withColumn("transaction_month", F.trunc("transaction_date", "month"))
-                 .write.mode("append").partitionBy("as_of_date", "transaction_month").parquet(self.path))
-        finally:
-            snap.unpersist()
+    def append(self, snapshot: DataFrame, if_stored: str = "error") -> bool:
+        """Check, then append one or more full snapshots.
+
+        The snapshot is computed once and checkpointed to the shared
+        checkpoint folder (lineage cut: the checks and the write read the
+        checkpoint, and a lost executor does not recompute the snapshot).
+        ``if_stored="skip"`` makes a re-run of a stored run a no-op (for
+        restarted jobs); the default raises. Returns True when rows were written.
+        """
+        if if_stored not in ("error", "skip"):
+            raise ValueError(if_stored)
+        snap = snapshot.select(*S.GOLD_COLUMNS).checkpoint(eager=True)
+        v = self.violations(snap).first()
+        if v["null_rows"] or v["dup_keys"]:
+            raise SnapshotError(f"snapshot breaks GOLD constraints: {v.asDict()}")
+        if self.collisions(snap).take(1):
+            if if_stored == "skip":
+                return False
+            raise SnapshotError("snapshot already stored: a run is never rewritten")
+        (snap.withColumn("transaction_month", F.trunc("transaction_date", "month"))
+             .write.mode("append").partitionBy("as_of_date", "transaction_month").parquet(self.path))
+        return True
 
 
 def append_all(gold: GoldTable, snapshots: Sequence[DataFrame]) -> GoldTable:

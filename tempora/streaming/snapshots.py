@@ -48,5 +48,5 @@ def emit_due_snapshots(spark: SparkSession, bronze_root: str, gold: GoldTable, s
     if runs:
         logs = {t: read_raw(spark, bronze_path(bronze_root, t), t, with_partition=True) for t in SNAPSHOT_LOGS}
         for r in runs:
-            gold.append(gmv_snapshot(logs, r))
+            gold.append(gmv_snapshot(logs, r), if_stored="skip")
     return runs

@@ -89,3 +89,11 @@ def test_stale_late_event_never_wins(spark):
     stale = p.where((F.col("purchase_id") % 13 == 0) & (F.col("purchase_id") % 10 == 2))
     assert stale.count() > 0
     assert stale.where(F.col("purchase_status") != "REEMBOLSADA").where(F.col("purchase_status") != "CANCELADA").count() == 0
+
+
+def test_honor_deletes_option(small_logs):
+    """Default keeps deleted extra info (reference rule); the option drops it."""
+    default = gmv_snapshot(small_logs, R2)
+    strict = gmv_snapshot(small_logs, R2, honor_deletes=True)
+    total = lambda df: df.agg(F.sum("purchases_count")).first()[0]
+    assert total(strict) < total(default)
