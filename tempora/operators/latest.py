@@ -66,20 +66,35 @@ def latest_as_of_many(events: DataFrame, keys: Sequence[str], runs: Sequence[Run
                       columns: Iterable[str] | None = None) -> DataFrame:
     """The pick for several cutoffs in one job; adds ``as_of_date``.
 
-    Each event is fanned out to the runs whose cutoff it precedes with an
-    ``explode`` over a literal array of the runs (a Generate, no join); the
-    run count is the caller's parameter list, so the fan-out is bounded by it.
-    ``as_of_date`` leads the window partition, so the group limit trims per
-    (run, key) before the shuffle.
+    Each event is tagged with the first run that can see it (its bucket: the
+    number of cutoffs at or before its arrival). One aggregate per key keeps
+    the winning version of each bucket, ``max(struct(event_ts, ingestion_ts,
+    payload))`` -- struct order is field by field, so this is exactly the
+    pick -- with a map-side partial aggregate, so a key with a huge number of
+    versions is collapsed before the shuffle. What run j sees is the best of
+    buckets 0..j: a running max over the buckets of each key, computed on the
+    aggregate's partitioning (no second exchange). The raw log is read, sorted
+    and shuffled once whatever the number of runs; rows beyond that are
+    (key, run) pairs, i.e. the output itself.
     """
+    runs = sorted(runs, key=lambda r: r.cutoff_ts)
     df = events
     if columns is not None:
         keep = list(dict.fromkeys([*keys, *columns, "op", *ORDER]))
         df = df.select(*keep)
-    latest_cutoff = max(r.cutoff_ts for r in runs)
-    df = prune_ingest_days(df, latest_cutoff).where(known_before(latest_cutoff))
-    run_arr = F.array(*[F.struct(date_lit(r.as_of_date).alias("d"), ts_lit(r.cutoff_ts).alias("c")) for r in runs])
-    fan = F.explode(F.filter(run_arr, lambda r: F.col("ingestion_ts") < r["c"]))
-    df = df.select("*", fan.alias("_run")).select(
-        F.col("_run")["d"].alias("as_of_date"), *[F.col(c) for c in df.columns])
-    return _pick(df, ["as_of_date", *keys])
+    payload = [c for c in df.columns if c not in (*keys, *ORDER)]
+    last = runs[-1].cutoff_ts
+    df = prune_ingest_days(df, last).where(known_before(last))
+    bucket = F.when(known_before(runs[0].cutoff_ts), F.lit(0))
+    for b, r in enumerate(runs[1:], start=1):
+        bucket = bucket.when(known_before(r.cutoff_ts), F.lit(b))
+    version = F.struct(*[F.col(c) for c in (*ORDER, *payload)])
+    tagged = df.select(*keys, bucket.alias("_bucket"), version.alias("_ver"))
+    per_bucket = tagged.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_bucket") == b, F.col("_ver"))).alias(f"_b{b}") for b in range(len(runs))])
+    runs_seen = per_bucket.select(
+        *keys, F.posexplode(F.array(*[F.col(f"_b{b}") for b in range(len(runs))])).alias("_run", "_ver"))
+    w = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = runs_seen.select(*keys, "_run", F.max("_ver").over(w).alias("_state")).where(F.col("_state").isNotNull())
+    as_of = F.element_at(F.array(*[date_lit(r.as_of_date) for r in runs]), F.col("_run") + 1)
+    return state.select(as_of.alias("as_of_date"), *keys, *[F.col("_state")[c].alias(c) for c in (*payload, *ORDER)])
