@@ -115,6 +115,7 @@ class GoldTable:
                 return False
             raise SnapshotError("snapshot already stored: a run is never rewritten")
         (snap.withColumn("transaction_month", F.trunc("transaction_date", "month"))
+             .hint("rebalance", "as_of_date", "transaction_month")
              .write.mode("append").partitionBy("as_of_date", "transaction_month").parquet(self.path))
         return True
 

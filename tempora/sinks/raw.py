@@ -45,8 +45,14 @@ def read_raw(spark: SparkSession, path: str, table: str, with_partition: bool =
 
 
 def write_raw(df: DataFrame, path: str) -> None:
-    """Append rows that already carry ``transaction_date`` (the ingest day)."""
+    """Append rows that already carry ``transaction_date`` (the ingest day).
+
+    The ``rebalance`` hint clusters rows by ingest month before the write and
+    lets AQE size the writer tasks: small months are coalesced into few files,
+    a hot month is split over several tasks instead of landing on one.
+    """
     (df.withColumn(PARTITION_COLUMN, F.trunc("transaction_date", "month"))
+       .hint("rebalance", PARTITION_COLUMN)
        .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
 
 
