@@ -29,6 +29,7 @@ from tempora import schemas as S
 from tempora.functions.rules import RunParams, date_lit, known_before, ts_lit
 from tempora.operators.gmv import PK, aggregate_snapshot, eligible_at
 from tempora.schemas import GOLD_COLUMNS
+from tempora.session import ensure_checkpoint_dir
 
 
 def _arrived_between(df: DataFrame, prev_cutoff, new_cutoff) -> DataFrame:
@@ -85,6 +86,7 @@ def incremental_snapshot(logs: Mapping[str, DataFrame], previous: DataFrame, pre
     and checkpointed: they steer the restriction, the recompute and the
     carry-forward.
     """
+    ensure_checkpoint_dir(previous.sparkSession)
     days = impacted_dates(logs, prev, new).checkpoint(eager=True)
     small = restrict_to_days(logs, days, new.cutoff_ts)
     fresh = (aggregate_snapshot(eligible_at(small, new.cutoff_ts).join(days, "transaction_date", "left_semi"))
