@@ -64,3 +64,30 @@ def test_snapshot_exchange_budget(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_margin_left_join_reuses_partitioning(spark):
+    from tempora.operators.margin import contribution_margin
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        logs = TD.cdc_logs(spark, "/root/testdata/sf0.001")
+        plan = _plan(contribution_margin(logs, RUN.cutoff_ts, ordered=False))
+        # purchase, extra and cost picks plus the item sum: 4 on the purchase key;
+        # the inner joins and the cost LEFT join add none.
+        assert plan.count("Exchange hashpartitioning(purchase_id") == 4, plan
+        assert "SortMergeJoin [purchase_id#" in plan and "LeftOuter" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_multi_snapshot_reads_each_log_once(spark):
+    from tempora.operators.gmv import multi_snapshot
+
+    logs = TD.cdc_logs(spark, "/root/testdata/sf0.001")
+    runs = [RunParams.for_day(d) for d in ("1998-06-30", "1998-07-31", "2001-12-31")]
+    plan = _plan(multi_snapshot(logs, runs))
+    # one map-side partial aggregate per log, whatever the number of runs
+    assert plan.count("partial_max(CASE WHEN (_bucket") == 3 * len(runs), plan
