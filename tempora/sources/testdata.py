@@ -129,11 +129,11 @@ _EXTRA_VERSIONS = [
 def extra_cdc(spark: SparkSession, sf_dir: str, derived: bool = False) -> DataFrame:
     o = _orders(spark, sf_dir).select("k", "ym", "e0", "o_custkey")
     cust = table(spark, sf_dir, "customer")
-    # nation x region is fixed-size (25 x 5 rows in the TPC-H model); the
-    # planner broadcasts it from file statistics.
     geo = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"),
                                               F.col("n_regionkey") == F.col("r_regionkey"))
-    j = (o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    # orders x customer grow with the data (sort-merge join); the fixed-size
+    # nation x region side is left to the planner's size-checked broadcast.
+    j = (o.join(cust.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
          .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
     x = _explode_versions(j, _EXTRA_VERSIONS, ["k", "ym"])
     out = x.selectExpr("k AS purchase_id", "ym AS purchase_partition", "subsidiary", "op", "event_ts",
@@ -150,7 +150,9 @@ def item_cdc(spark: SparkSession, sf_dir: str, derived: bool = False, distinct:
     """
     o = _orders(spark, sf_dir).select("k", "ym")
     li = table(spark, sf_dir, "lineitem")
-    j = li.join(o, F.col("l_orderkey") == F.col("k"))
+    # Both sides grow with the data: a shuffle (sort-merge) join, never a
+    # broadcast of orders; it also spreads the derivation over all reducers.
+    j = li.join(o.hint("merge"), F.col("l_orderkey") == F.col("k"))
     ev = "(l_shipdate + make_dt_interval(0, l_linenumber))"
     out = j.selectExpr(
         "l_orderkey * 10 + l_linenumber AS prod_item_id",
