@@ -36,8 +36,9 @@ def daily_snapshot(spark: SparkSession, raw_root: str, gold_path: str, as_of_dat
                    mode: str = "auto", honor_deletes: bool = False) -> bool:
     """Compute and append the snapshot for ``as_of_date``; False if already stored.
 
-    ``mode``: ``auto`` (incremental when an earlier snapshot is stored),
-    ``full`` or ``incremental``.
+    ``mode``: ``auto`` (incremental when a snapshot at most
+    ``MAX_INCREMENTAL_GAP_DAYS`` older is stored, full otherwise), ``full`` or
+    ``incremental`` (from the newest earlier snapshot, whatever its age).
     """
     if mode not in ("auto", "full", "incremental"):
         raise ValueError(mode)
@@ -52,6 +53,9 @@ def daily_snapshot(spark: SparkSession, raw_root: str, gold_path: str, as_of_dat
                      .agg(F.max("as_of_date")).first()[0])
     if mode == "incremental" and prev_date is None:
         raise ValueError("incremental run needs an earlier stored snapshot")
+    if mode == "auto" and prev_date is not None and \
+            (run.as_of_date - prev_date).days > incremental.MAX_INCREMENTAL_GAP_DAYS:
+        prev_date = None
     if prev_date is not None:
         prev = RunParams.for_day(prev_date)
         snap = incremental.incremental_snapshot(logs, gold.as_of(prev.as_of_date), prev, run)

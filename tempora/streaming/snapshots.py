@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 from tempora import schemas as S
 from tempora.functions.rules import RunParams
 from tempora.operators.gmv import gmv_snapshot
-from tempora.operators.incremental import incremental_snapshot
+from tempora.operators.incremental import MAX_INCREMENTAL_GAP_DAYS, incremental_snapshot
 from tempora.sinks.gold import GoldTable
 from tempora.sinks.raw import read_raw
 from tempora.streaming.ingest import arrived_until, bronze_path
@@ -42,12 +42,13 @@ def due_days(schedule: Iterable, watermark: dt.datetime | None, done: set) -> li
 
 
 def emit_due_snapshots(spark: SparkSession, bronze_root: str, gold: GoldTable, schedule: Iterable,
-                       lateness: dt.timedelta = dt.timedelta(0)) -> list[RunParams]:
+                       lateness: dt.timedelta = dt.timedelta(0),
+                       max_gap_days: int = MAX_INCREMENTAL_GAP_DAYS) -> list[RunParams]:
     """Append every scheduled snapshot whose cutoff the arrivals have passed.
 
-    The first snapshot is a full run; each later one is built incrementally
-    from the newest stored snapshot before it (only the days touched by the
-    events that arrived in between are recomputed).
+    A snapshot whose newest stored predecessor is at most ``max_gap_days``
+    older is built incrementally from it (only the days touched by the events
+    that arrived in between are recomputed); otherwise it is a full run.
     """
     wm = ingest_watermark(spark, bronze_root, lateness)
     # One row per stored snapshot date: bounded by the number of runs.
@@ -56,7 +57,7 @@ def emit_due_snapshots(spark: SparkSession, bronze_root: str, gold: GoldTable, s
     if runs:
         logs = {t: read_raw(spark, bronze_path(bronze_root, t), t, with_partition=True) for t in SNAPSHOT_LOGS}
         for r in sorted(runs, key=lambda x: x.as_of_date):
-            earlier = [d for d in done if d < r.as_of_date]
+            earlier = [d for d in done if r.as_of_date - dt.timedelta(days=max_gap_days) <= d < r.as_of_date]
             if earlier:
                 prev = RunParams.for_day(max(earlier))
                 snap = incremental_snapshot(logs, gold.as_of(prev.as_of_date), prev, r)
