@@ -57,16 +57,21 @@ def write_raw(df: DataFrame, path: str) -> None:
 
 
 def append_raw(spark: SparkSession, batch: DataFrame, path: str, table: str,
-               quarantine: str | None = None) -> dict:
+               quarantine: str | None = None, dedup_batch: bool = True) -> dict:
     """Gate, de-duplicate and append one batch; return counts.
 
     Rejected rows go to ``quarantine`` (if given) with their reason.
+    ``dedup_batch=False`` skips the in-batch de-duplication (a shuffle) for
+    callers that already dropped duplicates, such as the bronze stream; keys
+    already stored are always skipped.
     """
     tagged = quality.tag(batch, table)
     if "transaction_date" not in tagged.columns:
         tagged = tagged.withColumn("transaction_date", F.to_date("ingestion_ts"))
     cols = [f.name for f in S.raw_schema(table, derived=True)]
-    accepted = quality.drop_replays(tagged.where(F.col("reject_reason").isNull()).select(*cols), table)
+    accepted = tagged.where(F.col("reject_reason").isNull()).select(*cols)
+    if dedup_batch:
+        accepted = quality.drop_replays(accepted, table)
     if _exists(spark, path):
         accepted = quality.not_stored_yet(accepted, read_raw(spark, path, table, with_partition=True), table)
     write_raw(accepted, path)

@@ -6,33 +6,24 @@ partitioned by ingest month. Appends are idempotent: a retried micro-batch
 (or a replayed file) only adds raw keys that are not stored yet, so the
 sink stays exactly-once without a transaction log.
 
-Late data: the watermark is on ``ingestion_ts`` (arrival), never on
-``event_ts`` -- late corrections with an old ``event_ts`` are the very thing
-this model must absorb. ``withWatermark`` needs a zoned TIMESTAMP, so the
-NTZ arrival time is mapped to the same instant in UTC (micros since epoch,
-independent of the session zone) in a helper column.
+Late data: nothing is dropped for arriving late (a watermark-based
+de-duplication would discard rows older than the watermark). Arrival time
+(``ingestion_ts``), never ``event_ts``, decides when a day is closed: each
+micro-batch records its arrival high-water mark, which triggers the daily
+snapshots (``streaming/snapshots.py``).
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tempora import schemas as S
 from tempora.sinks.raw import append_raw
 
-ARRIVAL = "_arrived_at"
-
-
-def arrival_instant(col: str = "ingestion_ts") -> Column:
-    """NTZ wall time read as UTC, as a zoned TIMESTAMP (for watermarks)."""
-    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})")
-    return F.timestamp_micros(micros)
-
-
 def land(df: DataFrame, landing: str) -> None:
     """Drop a batch of RAW files into a landing folder (an upstream delivery)."""
     df.write.mode("append").parquet(landing)
@@ -50,19 +41,15 @@ def _progress_path(bronze: str) -> str:
 
 
 def start_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str, table: str,
-                 quarantine: str | None = None, lateness: str = "1 day",
-                 max_files: int | None = None) -> StreamingQuery:
+                 quarantine: str | None = None, max_files: int | None = None) -> StreamingQuery:
     """Run the landing -> bronze stream over everything available now.
 
-    Replays inside the lateness horizon are dropped by the stream state
-    (``dropDuplicatesWithinWatermark`` on the raw key); older replays by the
-    anti-join against the stored keys inside ``append_raw``.
+    No event is ever dropped for arriving late. Replays are removed exactly:
+    copies inside a micro-batch by ``dropDuplicates`` on the raw key, copies
+    of stored events by the anti join against the stored keys (both inside
+    ``append_raw``), so a retried micro-batch or a re-delivered file is a no-op.
     """
-    events = (read_landing(spark, landing, table, max_files)
-              .withColumn(ARRIVAL, arrival_instant())
-              .withWatermark(ARRIVAL, lateness)
-              .dropDuplicatesWithinWatermark(S.RAW_KEYS[table])
-              .drop(ARRIVAL))
+    events = read_landing(spark, landing, table, max_files)
     progress = _progress_path(bronze)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:

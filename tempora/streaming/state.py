@@ -21,18 +21,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tempora import schemas as S
 from tempora.operators.latest import latest_as_of
-from tempora.streaming.ingest import ARRIVAL, arrival_instant
 
 
-def latest_state_stream(events: DataFrame, keys: Sequence[str], lateness: str = "1 day") -> DataFrame:
-    """Streaming DataFrame of (keys, winning version) in update mode."""
-    payload = [c for c in events.columns if c not in (*keys, "event_ts", "ingestion_ts", ARRIVAL)]
+def latest_state_stream(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Streaming DataFrame of (keys, winning version) in update mode.
+
+    Replays need no de-duplication: the max is idempotent. No late event is
+    dropped: the state of a key is kept for as long as the key exists.
+    """
+    payload = [c for c in events.columns if c not in (*keys, "event_ts", "ingestion_ts")]
     winner = F.max(F.struct("event_ts", "ingestion_ts", *payload)).alias("_w")
-    deduped = (events.withColumn(ARRIVAL, arrival_instant())
-               .withWatermark(ARRIVAL, lateness)
-               .dropDuplicatesWithinWatermark([*keys, "event_ts", "ingestion_ts"])
-               .drop(ARRIVAL))
-    agg = deduped.groupBy(*keys).agg(winner)
+    agg = events.groupBy(*keys).agg(winner)
     return agg.select(*keys, *[F.col("_w")[c].alias(c) for c in payload], F.col("_w.event_ts").alias("event_ts"),
                       F.col("_w.ingestion_ts").alias("ingestion_ts"))
 
