@@ -2,6 +2,7 @@
 
   python -m tempora ingest   --raw ROOT --table purchase_cdc --input PATH [--quarantine PATH]
   python -m tempora snapshot --raw ROOT --gold PATH --as-of YYYY-MM-DD [--mode auto|full|incremental]
+  python -m tempora backfill --raw ROOT --gold PATH --from YYYY-MM-DD --to YYYY-MM-DD
   python -m tempora report   --gold PATH [--as-of YYYY-MM-DD]
   python -m tempora margin   --raw ROOT --as-of YYYY-MM-DD
 
@@ -31,6 +32,11 @@ def main(argv=None) -> int:
     b.add_argument("--gold", required=True)
     b.add_argument("--as-of", required=True)
     b.add_argument("--mode", default="auto", choices=["auto", "full", "incremental"])
+    e = sub.add_parser("backfill")
+    e.add_argument("--raw", required=True)
+    e.add_argument("--gold", required=True)
+    e.add_argument("--from", dest="first", required=True)
+    e.add_argument("--to", dest="last", required=True)
     c = sub.add_parser("report")
     c.add_argument("--gold", required=True)
     c.add_argument("--as-of")
@@ -48,6 +54,8 @@ def main(argv=None) -> int:
     elif args.cmd == "snapshot":
         written = jobs.daily_snapshot(spark, args.raw, args.gold, args.as_of, args.mode)
         print("written" if written else "already stored")
+    elif args.cmd == "backfill":
+        print("written:", [d.isoformat() for d in jobs.backfill(spark, args.raw, args.gold, args.first, args.last)])
     elif args.cmd == "report":
         df = jobs.as_of_report(spark, args.gold, args.as_of) if args.as_of else jobs.current_report(spark, args.gold)
         df.show(args.show, truncate=False)

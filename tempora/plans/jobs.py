@@ -3,6 +3,7 @@
 * ``ingest``: gate, de-duplicate and append a delivery of RAW events;
 * ``daily_snapshot``: the D-1 run (incremental from the newest stored
   snapshot when there is one, full otherwise), appended to GOLD once;
+* ``backfill``: all missing daily snapshots of a date range in one job;
 * ``reports``: current, as-of and margin reports.
 
 Paths are folders on the cluster's shared storage: ``raw_root/<log name>``
@@ -11,6 +12,8 @@ for the four RAW logs, one folder for GOLD.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +67,29 @@ def daily_snapshot(spark: SparkSession, raw_root: str, gold_path: str, as_of_dat
     return gold.append(snap, if_stored="skip")
 
 
+def backfill(spark: SparkSession, raw_root: str, gold_path: str, first_day, last_day) -> list:
+    """Every missing daily snapshot in ``[first_day, last_day]``, in ONE job.
+
+    The multi-cutoff pick reads and shuffles each log once for all the days;
+    the snapshots are appended together (guarded). Returns the days written.
+    """
+    first, last = RunParams.for_day(first_day).as_of_date, RunParams.for_day(last_day).as_of_date
+    gold = GoldTable(spark, gold_path)
+    stored = set()
+    if gold.exists():
+        # one row per stored snapshot date in the range (bounded by the range length)
+        stored = {r[0] for r in gold.stored()
+                  .where((F.col("as_of_date") >= date_lit(first)) & (F.col("as_of_date") <= date_lit(last)))
+                  .select("as_of_date").distinct().collect()}
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+    runs = [RunParams.for_day(d) for d in days if d not in stored]
+    if not runs:
+        return []
+    logs = raw_logs(spark, raw_root, (S.PURCHASE, S.EXTRA, S.ITEM))
+    gold.append(gmv.multi_snapshot(logs, runs))
+    return [r.as_of_date for r in runs]
+
+
 def current_report(spark: SparkSession, gold_path: str) -> DataFrame:
     return _report(GoldTable(spark, gold_path).current())
 

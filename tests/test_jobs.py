@@ -41,3 +41,19 @@ def test_daily_workflow(spark, mock, capsys):
     assert main(["report", "--gold", gold, "--as-of", "2023-01-07"]) == 0
     out = capsys.readouterr().out
     assert "2023-01-05" in out and "200.00" in out
+
+
+def test_backfill_one_job(spark, mock):
+    root = scratch_path(spark, "test-backfill")
+    raw, gold = os.path.join(root, "raw"), os.path.join(root, "gold")
+    for t, df in mock.items():
+        jobs.ingest(spark, df, raw, t)
+    jobs.daily_snapshot(spark, raw, gold, "2023-01-07")
+    written = jobs.backfill(spark, raw, gold, "2023-01-07", "2023-01-10")
+    assert [d.isoformat() for d in written] == ["2023-01-08", "2023-01-09", "2023-01-10"]
+    assert jobs.backfill(spark, raw, gold, "2023-01-07", "2023-01-10") == []
+    hist = _gold_rows(GoldTable(spark, gold).history())
+    assert [r for r in hist if r[0] in ("2023-01-07", "2023-01-10")] == sorted(GOLDEN_SNAPSHOTS)
+    # nothing arrived between the 8th and the 10th midnight: same rows as the 7th
+    seventh = [r[1:6] for r in hist if r[0] == "2023-01-07"]
+    assert [r[1:6] for r in hist if r[0] == "2023-01-09"] == seventh
