@@ -58,9 +58,17 @@ def date_lit(value) -> Column:
     return F.lit(_as_date(value).isoformat()).cast("date")
 
 
+def _ntz_sql(value) -> str:
+    if isinstance(value, dt.datetime):
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    return f"TIMESTAMP_NTZ '{value}'"
+
+
 def known_before(cutoff, col: str = "ingestion_ts") -> Column:
     """What was known at the cutoff: strict ``ingestion_ts < cutoff``."""
-    return F.col(col) < (cutoff if isinstance(cutoff, Column) else ts_lit(cutoff))
+    if isinstance(cutoff, Column):
+        return F.col(col) < cutoff
+    return F.expr(f"{col} < {_ntz_sql(cutoff)}")
 
 
 def not_deleted(col: str = "op") -> Column:
@@ -78,8 +86,11 @@ def status_counts() -> Column:
 
 
 def purchase_eligible() -> Column:
-    """Eligibility of a purchase's winning version (tested after the pick)."""
-    return paid() & status_counts() & not_deleted()
+    """Eligibility of a purchase's winning version (tested after the pick):
+    paid, status NULL or not excluded, winner not a delete (one SQL expression)."""
+    excluded = ", ".join(f"'{x}'" for x in S.EXCLUDED_STATUSES)
+    return F.expr(f"release_date IS NOT NULL AND (purchase_status IS NULL OR purchase_status NOT IN ({excluded}))"
+                  " AND op <> 'd'")
 
 
 def item_amount() -> Column:

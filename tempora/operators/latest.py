@@ -20,7 +20,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempora.functions.rules import RunParams, date_lit, known_before, ts_lit
+from tempora.functions.rules import RunParams, _ntz_sql, date_lit, known_before
 
 ORDER = ("event_ts", "ingestion_ts")
 
@@ -37,12 +37,14 @@ def prune_ingest_days(df: DataFrame, cutoff) -> DataFrame:
     folder) are functions of ``ingestion_ts`` that Spark cannot relate to it
     on its own; stating the bound lets the scan skip folders and row groups.
     """
-    day = F.to_date(ts_lit(cutoff))
-    if "transaction_date" in df.columns:
-        df = df.where(F.col("transaction_date") <= day)
-    if "ingest_month" in df.columns:
-        df = df.where(F.col("ingest_month") <= F.trunc(day, "month"))
-    return df
+    cols = set(df.columns)
+    day = f"to_date({_ntz_sql(cutoff)})"
+    bounds = []
+    if "transaction_date" in cols:
+        bounds.append(f"transaction_date <= {day}")
+    if "ingest_month" in cols:
+        bounds.append(f"ingest_month <= trunc({day}, 'month')")
+    return df.where(" AND ".join(bounds)) if bounds else df
 
 
 def latest_as_of(events: DataFrame, keys: Sequence[str], cutoff=None,
