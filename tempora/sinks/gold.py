@@ -12,7 +12,6 @@ writes new folders; existing folders are never touched.
 from __future__ import annotations
 
 import operator
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,8 +120,3 @@ class GoldTable:
              .write.mode("append").partitionBy("as_of_date", "transaction_month").parquet(self.path))
         return True
 
-
-def append_all(gold: GoldTable, snapshots: Sequence[DataFrame]) -> GoldTable:
-    for s in snapshots:
-        gold.append(s)
-    return gold
