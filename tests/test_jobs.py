@@ -57,3 +57,14 @@ def test_backfill_one_job(spark, mock):
     # nothing arrived between the 8th and the 10th midnight: same rows as the 7th
     seventh = [r[1:6] for r in hist if r[0] == "2023-01-07"]
     assert [r[1:6] for r in hist if r[0] == "2023-01-09"] == seventh
+
+
+def test_cli_ingest_delivery_folder(spark, mock):
+    root = scratch_path(spark, "test-cli")
+    delivery, raw = os.path.join(root, "delivery"), os.path.join(root, "raw")
+    mock[S.PURCHASE].write.parquet(delivery)
+    assert main(["ingest", "--raw", raw, "--table", S.PURCHASE, "--input", delivery]) == 0
+    assert main(["ingest", "--raw", raw, "--table", S.PURCHASE, "--input", delivery]) == 0  # re-delivery
+    stored = jobs.raw_logs(spark, raw, (S.PURCHASE,))[S.PURCHASE]
+    assert stored.count() == 5
+    assert stored.where("transaction_date IS NULL").count() == 0
