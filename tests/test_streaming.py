@@ -16,3 +16,27 @@ def test_stream_equals_batch(spark, name):
     want = duck(SF).execute(E.oracle_sql()[name]).df()
     ok, msg = compare(got, want)
     assert ok, msg
+
+
+def test_compacted_state_equals_full_pick(spark):
+    import os
+
+    from tempora import schemas as S
+    from tempora.session import scratch_path
+    from tempora.sources import testdata as TD
+    from tempora.streaming.ingest import land, read_landing
+    from tempora.streaming.queries import _drops
+    from tempora.streaming.state import compact, current_state, start_latest_state
+
+    root = scratch_path(spark, "test-compact")
+    landing, changes, base = (os.path.join(root, x) for x in ("landing", "changes", "base"))
+    drops = _drops(TD.purchase_cdc(spark, SF))
+    for n, d in enumerate(drops):
+        land(d, landing)
+        start_latest_state(spark, read_landing(spark, landing, S.PURCHASE), S.PURCHASE, changes,
+                           os.path.join(root, "ckpt")).awaitTermination()
+        if n == 1:
+            compact(spark, changes, S.PURCHASE, base)   # base covers the first two drops
+    full = sorted(tuple(r) for r in current_state(spark, changes, S.PURCHASE).collect())
+    with_base = sorted(tuple(r) for r in current_state(spark, changes, S.PURCHASE, base).collect())
+    assert with_base == full and len(full) > 0
