@@ -14,6 +14,22 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.mixing import mix_sources, quality_weights
+
+    weights = quality_weights(read(spark, sf_dir, "labels"))
+    return mix_sources(read(spark, sf_dir, "documents"), weights).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.secrets import scan_secrets
+
+    return scan_secrets(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_mix_sources": op4_mix_sources,
+    "op7_secret_scan": op7_secret_scan,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
