@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,27 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def python_ready(spark: SparkSession) -> None:
+    """Let Python workers import this package where it lies beside the driver's (elsewhere: --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """mapInArrow with this package at hand in the workers."""
+    python_ready(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
+def group_arrow(df: DataFrame, keys: list[str], fn, schema) -> DataFrame:
+    """applyInArrow per group of keys with this package at hand in the workers."""
+    python_ready(df.sparkSession)
+    return df.groupBy(*keys).applyInArrow(fn, schema)
+
+
 def slots(df: DataFrame) -> int:
     """Partitions that a shuffle of this session makes."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -14,6 +14,12 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.langid import identify
+
+    return identify(read(spark, sf_dir, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.llm.mixing import mix_sources, quality_weights
 
@@ -22,6 +28,12 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.sentencepiece_fst import encode_documents
+
+    return encode_documents(read(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.llm.secrets import scan_secrets
 
@@ -29,7 +41,9 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_mix_sources": op4_mix_sources,
+    "op5_sentencepiece": op5_sentencepiece,
     "op7_secret_scan": op7_secret_scan,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }

@@ -24,10 +24,10 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempora.llm.common import merge_labels, pin
+from tempora.llm.common import group_arrow, map_arrow, merge_labels, pin
 from tempora.llm.components import connected_components
 
 SEED = 42
@@ -56,16 +56,21 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
+def text_hash():
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit integer, one row per input row."""
+    """(doc_id, text_hash, fp): the fingerprint as a signed 64-bit integer, one row per input row."""
 
     def run(batches):
         for b in batches:
             texts = b.column(1).cast(pa.binary()).to_pylist()
             fps = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash().alias("text_hash"))
+    return map_arrow(narrow, run, "doc_id long, text_hash long, fp long")
 
 
 def _split(words: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int) -> np.ndarray:
@@ -165,7 +170,7 @@ def trie_links(words: DataFrame, budget: int) -> DataFrame:
         back = back.view(np.int64)
         return pa.table({"u": pa.array(back[far]), "v": pa.array(back[label[far]])})
 
-    return sides.groupBy("r", "lo", "flip").applyInArrow(pairs, "u long, v long").distinct()
+    return group_arrow(sides, ["r", "lo", "flip"], pairs, "u long, v long").distinct()
 
 
 def simhash_near_dedup(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataFrame:
@@ -189,4 +194,24 @@ def simhash_near_dedup(docs: DataFrame, shingle: int = 4, budget: int = 4) -> Da
     least = marked.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = marked.join(least, "label").select(F.col("fp").alias("word"), "label", "component_id")
     return prints.join(named, prints.fp == named.word).select(
-        "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "label")
+        "doc_id", "text_hash", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "label")
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataFrame:
+    """docs, all columns, one row of each near-duplicate class: the smallest doc_id's (a null one only if there is no other).
+
+    Rows are told apart by id and text; rows that repeat both count as copies,
+    of which the first by the other columns stays.
+    """
+    found = simhash_near_dedup(docs.select("doc_id", "text"), shingle, budget)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    stay = found.groupBy("label").agg(first.alias("first"))
+
+    def key(doc_id, text):
+        return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), text.cast("string"))
+
+    stay = stay.select(key(F.col("first.doc_id"), F.col("first.text_hash")).alias("__stay"))
+    rows = docs.withColumn("__key", key(F.col("doc_id").cast("long"), text_hash())).join(stay, F.col("__key") == F.col("__stay"), "left_semi")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    order = Window.partitionBy("__key").orderBy(*(rest or [F.lit(0)]))
+    return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__key", "__n")
