@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tempora.llm.common import read
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.html_text import extract_text
+
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.llm.simhash import simhash_near_dedup
 
@@ -34,6 +40,12 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.urls import filter_urls, rules_table
+
+    return filter_urls(read(spark, sf_dir, "pages"), rules_table(spark))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.llm.secrets import scan_secrets
 
@@ -44,6 +56,8 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_mix_sources": op4_mix_sources,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_url_filter": op6_url_filter,
     "op7_secret_scan": op7_secret_scan,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_html_text": op10_html_text,
 }
