@@ -26,6 +26,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read(spark, sf_dir, "documents"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.suffix import remove_repeats
+
+    return remove_repeats(read(spark, sf_dir, "documents"), length=200).drop("kept")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.llm.mixing import mix_sources, quality_weights
 
@@ -54,6 +60,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_url_filter": op6_url_filter,
