@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tempora.llm.common import read
 from tempora.llm.langid import keep_identified
 from tempora.llm.mixing import mixed_documents, quality_weights
-from tempora.llm.secrets import redact
+from tempora.llm.secret_scan import redact
 from tempora.llm.sentencepiece_fst import encode_documents
 from tempora.llm.simhash import keep_one_of_each
 from tempora.session import ensure_checkpoint_dir, scratch_path

@@ -22,7 +22,7 @@ from tempora.llm.common import map_arrow
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
-CACHE = 200_000  # tokens whose scores a worker remembers
+CACHE = 400_000  # words whose scores a worker remembers
 
 
 @dataclass(frozen=True)
@@ -37,79 +37,73 @@ class Bounds:
 
 
 class Model:
-    """Log frequencies of words and n-grams per language."""
-
-    def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: list[dict[str, np.ndarray]]):
-        self.langs, self.words, self.grams = langs, words, grams
-        self.zero = np.zeros(len(langs))
-        self.rows: dict[str, int] = {}
-        self.table = np.zeros((1024, len(langs) + 1))
-
-    def __getstate__(self):
-        return self.langs, self.words, self.grams
-
-    def __setstate__(self, state):
-        self.__init__(*state)
-
-    def word(self, w: str) -> np.ndarray:
-        """Log frequency of a word by language, backing off to shorter and shorter n-grams."""
-        known = self.words.get(w)
+    """Log frequencies: tables[0] are words, tables[n] n-grams, each (key -> row, matrix rows x languages)."""
+
+    def __init__(self, langs: list[str], tables: list[tuple[dict[str, int], np.ndarray]]):
+        self.langs, self.tables = langs, tables
+        first = np.cumsum([0, *(len(m) for _, m in tables)]).tolist()
+        self.index = [(index, at) for (index, _), at in zip(tables, first)]
+        self.logs = np.concatenate([*(m for _, m in tables), np.zeros((1, len(langs)))])  # last: nothing is known
+        self.seen: dict[str, int] = {}
+        self.scores = np.zeros((CACHE, len(langs)))
+
+    def __reduce__(self):
+        return Model, (self.langs, self.tables)
+
+    def evidence(self, word: str) -> list[int]:
+        """Rows of ``logs`` whose mean scores a word: its own, or those of the longest n-grams that are known."""
+        index, at = self.index[0]
+        known = index.get(word)
         if known is not None:
-            return known
-        marked = f"^{w}$"
-        for n in range(len(self.grams), 0, -1):
-            table = self.grams[n - 1]
-            hits = [table[g] for i in range(len(marked) - n + 1) if (g := marked[i:i + n]) in table]
+            return [at + known]
+        marked = f"^{word}$"
+        for n in range(len(self.index) - 1, 0, -1):
+            index, at = self.index[n]
+            hits = [at + index[g] for i in range(len(marked) - n + 1) if (g := marked[i:i + n]) in index]
             if hits:
-                return sum(hits) / len(hits)
-        return self.zero
-
-    def _row(self, token: str) -> int:
-        """Row of ``table`` with the token's summed word scores and its number of words."""
-        k = len(self.rows)
-        if k >= CACHE:
-            self.rows.clear()
-            k = 0
-        if k == len(self.table):
-            self.table = np.concatenate((self.table, np.zeros_like(self.table)))
-        row = np.zeros(len(self.langs) + 1)
-        for w in LETTERS.findall(token):
-            row[:-1] += self.word(w)
-            row[-1] += 1
-        self.table[k] = row
-        self.rows[token] = k
-        return k
+                return hits
+        return [len(self.logs) - 1]
+
+    def _score(self, words: list[str]) -> np.ndarray:
+        """Scores of distinct words, a row each."""
+        get = self.seen.get
+        at = [get(w, -1) for w in words]
+        if -1 in at:
+            new = [w for w, k in zip(words, at) if k < 0]
+            if len(self.seen) + len(new) > CACHE:
+                self.seen.clear()
+                new = words
+            hits = [self.evidence(w) for w in new]
+            sizes = np.fromiter(map(len, hits), np.int64, len(hits))
+            rows = self.logs[np.fromiter((x for h in hits for x in h), np.int64, sizes.sum())]
+            first = len(self.seen)
+            self.scores[first:first + len(new)] = np.add.reduceat(rows, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
+            self.seen.update(zip(new, range(first, first + len(new))))
+            at = [self.seen[w] for w in words]
+        return self.scores[at]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, score): score is the posterior with the text's evidence counted as 20 words at most."""
-        if not text or not self.langs:
-            return UNDETERMINED, 0.0
-        counts = Counter(text.lower().split())
-        total = np.zeros(len(self.langs) + 1)
-        items = list(counts.items())
-        for i in range(0, len(items), CACHE // 2):
-            part = items[i:i + CACHE // 2]
-            if len(self.rows) + len(part) > CACHE:
-                self.rows.clear()
-            get = self.rows.get
-            at = [get(t, -1) for t, _ in part]
-            if -1 in at:
-                at = [self._row(t) if k < 0 else k for k, (t, _) in zip(at, part)]
-            total += np.array([c for _, c in part], float) @ self.table[at]
-        n = total[-1]
-        if not n:
+        counts = Counter(LETTERS.findall(text.lower())) if text and self.langs else None
+        if not counts:
             return UNDETERMINED, 0.0
-        mean = total[:-1] / n * min(n, 20.0)
+        words, n = list(counts), np.fromiter(counts.values(), float, len(counts))
+        total = np.zeros(len(self.langs))
+        for i in range(0, len(words), CACHE // 2):
+            total += n[i:i + CACHE // 2] @ self._score(words[i:i + CACHE // 2])
+        mean = total / n.sum() * min(n.sum(), 20.0)
         best = int(mean.argmax())
         return self.langs[best], float(1 / np.exp(mean - mean[best]).sum())
 
 
-def _logs(tables: list[Counter], most: int) -> dict[str, np.ndarray]:
+def _logs(tables: list[Counter], most: int) -> tuple[dict[str, int], np.ndarray]:
     """Add-half log frequencies by key of what is kept of every language's counts."""
-    kept = [dict(sorted(t.items(), key=lambda x: (-x[1], x[0]))[:most]) for t in tables]
-    keys = set().union(*kept) if kept else set()
-    total = np.array([sum(t.values()) + 0.5 * len(keys) + 1e-9 for t in kept])
-    return {k: np.log((np.array([t.get(k, 0) for t in kept]) + 0.5) / total) for k in keys}
+    kept = [t if len(t) <= most else dict(sorted(t.items(), key=lambda x: (-x[1], x[0]))[:most]) for t in tables]
+    index = {k: i for i, k in enumerate(sorted(set().union(*kept)))}
+    counts = np.zeros((len(index), len(kept)))
+    for lang, table in enumerate(kept):
+        counts[[index[k] for k in table], lang] = list(table.values())
+    return index, np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * max(1, len(index))))
 
 
 def _sample(docs: DataFrame, bounds: Bounds) -> DataFrame:
@@ -165,7 +159,7 @@ def train(docs: DataFrame, bounds: Bounds = Bounds()) -> Model:
                 table.pop(mark, None)
             tables.append(table)
         grams.append(_logs(tables, bounds.grams))
-    return Model(langs, _logs([words[x] for x in langs], bounds.words), grams)
+    return Model(langs, [_logs([words[x] for x in langs], bounds.words), *grams])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -13,6 +13,13 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(read(spark, sf_dir, "pages"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.ann import nearest
+
+    vectors = read(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.llm.simhash import simhash_near_dedup
 
@@ -26,6 +33,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read(spark, sf_dir, "documents"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.embedding_dedup import embedding_near_dedup
+
+    return embedding_near_dedup(read(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tempora.llm.suffix import remove_repeats
 
@@ -53,18 +66,20 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tempora.llm.secrets import scan_secrets
+    from tempora.llm.secret_scan import scan_secrets
 
     return scan_secrets(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_url_filter": op6_url_filter,
     "op7_secret_scan": op7_secret_scan,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_html_text": op10_html_text,
 }
