@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tempora.llm.ann import matrix, usable
 from tempora.llm.common import group_arrow, map_arrow, merge_labels, pin
 from tempora.llm.components import connected_components
-from tempora.llm.vamana import BATCH, build, range_search
+from tempora.llm.vamana import BATCH, both_ways, build, range_search
 
 CLUSTER = 1024  # points per cluster before overlap
 CLUSTERS = 4096  # clusters at most; larger ones are cut in blocks
@@ -127,10 +127,11 @@ def search(shards: DataFrame, lists: DataFrame, dim: int, cosine: float) -> Data
         edges = np.full((len(ids), max(1, int(width.max(initial=0)))), -1, np.int64)
         edges[owner, np.arange(len(owner)) - np.repeat(np.cumsum(width) - width, width)] = at
         xs = x.astype(np.float32)
+        links = both_ways(edges)
         entry = int((x @ x.mean(axis=0)).argmax())
         found = np.zeros((len(ids), len(ids)), bool)
         for start in range(0, len(ids), BATCH):
-            row, node = range_search(xs, edges, xs[start:start + BATCH], entry, radius2, BEAM)
+            row, node = range_search(xs, edges, links, xs[start:start + BATCH], entry, radius2, BEAM)
             exact = np.einsum("ij,ij->i", x[row + start], x[node]) >= cosine
             found[row[exact] + start, node[exact]] = True
         found |= found.T

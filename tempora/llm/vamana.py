@@ -24,12 +24,13 @@ def _distances(x: np.ndarray, q: np.ndarray, rows: np.ndarray, nodes: np.ndarray
     return np.einsum("ij,ij->i", gap, gap)
 
 
-def beam_search(x: np.ndarray, edges: np.ndarray, q: np.ndarray, entry: int, beam: int, width: int = 4):
+def beam_search(x: np.ndarray, edges: np.ndarray, q: np.ndarray, entry: int, beam: int, width: int = 4, within: float | None = None):
     """Greedy search of each row of q: (nodes, squared distances) of the ``beam`` nearest met, nearest first, and who was met.
 
     ``edges`` has -1 in place of missing neighbours; in the result missing
     nodes are len(x) at infinite distance. ``width`` nodes are expanded per
-    step.
+    step. With ``within`` also (rows, nodes, squared distances) of all that
+    was met at that squared distance or less, in the beam or not.
     """
     n, k = len(x), len(q)
     met = np.zeros((k, n + 1), bool)
@@ -41,6 +42,10 @@ def beam_search(x: np.ndarray, edges: np.ndarray, q: np.ndarray, entry: int, bea
     nodes[:, 0], done[:, 0] = entry, False
     dist[:, 0] = _distances(x, q, every, nodes[:, 0])
     live = every
+    ranged = []
+    if within is not None:
+        near = np.flatnonzero(dist[:, 0] <= within)
+        ranged.append((near, nodes[near, 0], dist[near, 0]))
     while len(live):
         open_ = ~done[live]
         turn = open_ & (np.cumsum(open_, axis=1) <= width)
@@ -60,6 +65,9 @@ def beam_search(x: np.ndarray, edges: np.ndarray, q: np.ndarray, entry: int, bea
         at, near = flat // (n + 1), flat % (n + 1)
         met[at, near] = True
         d = _distances(x, q, at, near)
+        if within is not None:
+            ok = d <= within
+            ranged.append((at[ok], near[ok], d[ok]))
         better = d < dist[at, -1]
         at, near, d = at[better], near[better], d[better]
         if not len(at):
@@ -76,6 +84,8 @@ def beam_search(x: np.ndarray, edges: np.ndarray, q: np.ndarray, entry: int, bea
         dist[rows] = np.take_along_axis(all_dist, order, 1)
         nodes[rows] = np.take_along_axis(np.concatenate((nodes[rows], new_nodes), axis=1), order, 1)
         done[rows] = np.take_along_axis(np.concatenate((done[rows], new_nodes == n), axis=1), order, 1)
+    if within is not None:
+        return nodes, dist, met, tuple(np.concatenate(c) for c in zip(*ranged))
     return nodes, dist, met
 
 
@@ -147,20 +157,28 @@ def _add_reverse(x: np.ndarray, edges: np.ndarray, batch: np.ndarray, degree: in
         edges[nodes[some]] = robust_prune(x, np.take_along_axis(cand, by, 1), np.take_along_axis(dist, by, 1), degree, alpha)
 
 
-def range_search(x: np.ndarray, edges: np.ndarray, q: np.ndarray, entry: int, radius2: float, beam: int, slack: float = 1.3):
-    """(rows, nodes) within squared distance ``radius2`` of each row of q: a greedy search from the entry, then everything
-    met within the radius (times ``slack``) is expanded until nothing new turns up."""
+def both_ways(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, ends): for each node the ends of its edges and of those that lead to it, from ends[first[v]] to ends[first[v + 1]]."""
+    n = len(edges)
+    row, col = np.nonzero(edges >= 0)
+    to = edges[row, col]
+    flat = np.unique(np.concatenate((row * n + to, to * n + row)))
+    return np.searchsorted(flat, np.arange(n + 1) * n), flat % max(n, 1)
+
+
+def range_search(x: np.ndarray, edges: np.ndarray, links: tuple[np.ndarray, np.ndarray], q: np.ndarray, entry: int, radius2: float,
+                 beam: int, slack: float = 1.3):
+    """(rows, nodes) within squared distance ``radius2`` of each row of q: a greedy search from the entry over ``edges``, then
+    everything met within the radius (times ``slack``) is expanded over ``links`` (edges both ways) until nothing new turns up."""
     n = len(x)
-    nodes, dist, met = beam_search(x, edges, q, entry, beam)
-    row, col = np.nonzero((dist <= radius2 * slack) & (nodes < n))
-    at, here, d = row, nodes[row, col], dist[row, col]
+    first, ends = links
+    _, _, met, (at, here, d) = beam_search(x, edges, q, entry, beam, within=radius2 * slack)
     out = []
     while len(at):
         out.append((at[d <= radius2], here[d <= radius2]))
-        near = edges[here]
-        at, near = np.repeat(at, near.shape[1]), near.ravel()
-        ok = near >= 0
-        at, near = at[ok], near[ok]
+        size = first[here + 1] - first[here]
+        at = np.repeat(at, size)
+        near = ends[np.arange(len(at)) - np.repeat(np.cumsum(size) - size - first[here], size)]
         ok = ~met[at, near]
         flat = np.unique(at[ok] * (n + 1) + near[ok])
         at, here = flat // (n + 1), flat % (n + 1)
