@@ -4,7 +4,7 @@
 returns a DataFrame, which is written as Parquet and reread as the next
 stage's docs. All but the last return the columns of documents.
 
-1. language_id: documents whose language cannot be told go.
+1. language_id: documents in which no language can be told (null texts, no letters) go.
 2. simhash_near_dedup: one document of each group of near copies stays.
 3. secret_scan: secrets are masked in the text; no document goes.
 4. mix_sources: every document is repeated as often as the mix takes it.

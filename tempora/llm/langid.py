@@ -193,8 +193,12 @@ def identify(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     return predict(docs, model).select("doc_id", is_held_out().alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.4, bounds: Bounds = Bounds()) -> DataFrame:
-    """docs, all columns, without the rows whose language cannot be told (`und` or a score below ``least``)."""
+def keep_identified(docs: DataFrame, least: float = 0.0, bounds: Bounds = Bounds()) -> DataFrame:
+    """docs, all columns, without the rows whose language cannot be told: `und`, or a score below ``least``.
+
+    A low score alone says little about a text of a word or two, so none is
+    asked for by default.
+    """
     model = train(docs.select("doc_id", "lang", "text").where(~is_held_out()), bounds)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")

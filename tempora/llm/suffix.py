@@ -131,11 +131,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def suffix_array(data: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes in order: by eight bytes first, then each unsorted group by the ranks twice as far on."""
+    """Starts of the suffixes in order: by seven bytes first, then each unsorted group by the ranks twice as far on."""
     n = len(data)
-    key = np.concatenate((data, np.zeros(7, np.uint8))).astype(np.uint64)
-    for step in (1, 2, 4):
-        key = (key[:-step] << np.uint64(8 * step)) | key[step:]
+    symbols = np.concatenate((data.astype(np.uint64) + np.uint64(1), np.zeros(6, np.uint64)))  # the end sorts before a zero byte
+    key = np.zeros(n, np.uint64)
+    for k in range(7):
+        key = (key << np.uint64(9)) | symbols[k:k + n]
     sa = np.argsort(key, kind="stable")
     rank = np.empty(n, np.int64)
 
@@ -147,7 +148,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
         rank[order] = np.repeat(at[ends], sizes)
         return at[np.repeat(sizes > 1, sizes)]
 
-    open_, reach = regroup(np.arange(n), sa, key[sa]), 8
+    open_, reach = regroup(np.arange(n), sa, key[sa]), 7
     while len(open_) and reach < n:
         s = sa[open_]
         ahead = np.where(s + reach < n, rank[np.minimum(s + reach, n - 1)] + 1, 0)
