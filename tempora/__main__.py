@@ -3,10 +3,12 @@
   python -m tempora ingest   --raw ROOT --table purchase_cdc --input PATH [--quarantine PATH]
   python -m tempora snapshot --raw ROOT --gold PATH --as-of YYYY-MM-DD [--mode auto|full|incremental]
   python -m tempora backfill --raw ROOT --gold PATH --from YYYY-MM-DD --to YYYY-MM-DD
-  python -m tempora report   --gold PATH [--as-of YYYY-MM-DD]
-  python -m tempora margin   --raw ROOT --as-of YYYY-MM-DD
+  python -m tempora report   --gold PATH [--as-of YYYY-MM-DD] [--whole] [--output FOLDER]
+  python -m tempora margin   --raw ROOT --as-of YYYY-MM-DD [--output FOLDER]
 
-Reports print at most ``--show`` rows; the report itself is whole.
+Without ``--quarantine`` a delivery with a bad or conflicting row is refused.
+``--output`` writes the whole report as parquet; ``--show`` only limits what
+is printed.
 """
 
 from __future__ import annotations
@@ -19,6 +21,12 @@ from tempora.plans import jobs
 from tempora.session import get_session
 
 
+def _deliver(report, args) -> None:
+    if args.output:
+        report.write.parquet(args.output)
+    report.show(args.show, truncate=False)
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="tempora")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -40,10 +48,13 @@ def main(argv=None) -> int:
     c = sub.add_parser("report")
     c.add_argument("--gold", required=True)
     c.add_argument("--as-of")
+    c.add_argument("--whole", action="store_true", help="all seven columns")
+    c.add_argument("--output")
     c.add_argument("--show", type=int, default=50)
     d = sub.add_parser("margin")
     d.add_argument("--raw", required=True)
     d.add_argument("--as-of", required=True)
+    d.add_argument("--output")
     d.add_argument("--show", type=int, default=50)
     args = ap.parse_args(argv)
 
@@ -57,10 +68,11 @@ def main(argv=None) -> int:
     elif args.cmd == "backfill":
         print("written:", [d.isoformat() for d in jobs.backfill(spark, args.raw, args.gold, args.first, args.last)])
     elif args.cmd == "report":
-        df = jobs.as_of_report(spark, args.gold, args.as_of) if args.as_of else jobs.current_report(spark, args.gold)
-        df.show(args.show, truncate=False)
+        report = jobs.as_of_report(spark, args.gold, args.as_of, args.whole) if args.as_of else \
+            jobs.current_report(spark, args.gold, args.whole)
+        _deliver(report, args)
     elif args.cmd == "margin":
-        jobs.margin_report(spark, args.raw, args.as_of).show(args.show, truncate=False)
+        _deliver(jobs.margin_report(spark, args.raw, args.as_of), args)
     return 0
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tempora.functions.metrics import METRICS
 from tempora.functions.rules import money
 
 DAY_SUB = ["transaction_date", "subsidiary"]
@@ -32,7 +33,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def monthly(snapshot: DataFrame, name: str) -> DataFrame:
     return (snapshot.groupBy(F.trunc("transaction_date", "month").alias("transaction_month"), "subsidiary")
-            .agg(money(F.sum("gmv_amount")).alias(name)))
+            .agg(METRICS["gmv"]().alias(name)))
 
 
 def month_as_seen_vs_now(as_seen: DataFrame, current: DataFrame) -> DataFrame:

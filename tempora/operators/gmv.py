@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempora import schemas as S
-from tempora.functions.rules import RunParams, date_lit, item_amount, money, not_deleted, purchase_eligible
-from tempora.operators.latest import latest_as_of, latest_as_of_many
+from tempora.functions.metrics import METRICS
+from tempora.functions.rules import RunParams, date_lit, item_amount, not_deleted, purchase_eligible
+from tempora.operators.latest import latest_as_of, latest_intervals
 
 PK = S.PURCHASE_KEY
 
@@ -32,30 +33,28 @@ def items_by_purchase(items_latest: DataFrame, by: Sequence[str] = ()) -> DataFr
     Items whose purchase reference is NULL form a NULL group that can never
     join; the inner join downstream lets Catalyst drop them before the sum.
     """
-    keys = [*by, *PK]
     return (items_latest.where(not_deleted())
-            .groupBy(*keys)
+            .groupBy(*by, *PK)
             .agg(F.sum(item_amount()).alias("amount_total"),
                  F.max("ingestion_ts").alias("max_item_ingestion")))
 
 
 def eligible_purchases(purchase_latest: DataFrame, extra_latest: DataFrame, items_sum: DataFrame,
-                       by: Sequence[str] = (), honor_deletes: bool = False) -> DataFrame:
+                       honor_deletes: bool = False) -> DataFrame:
     """Purchases that count as GMV at the cutoff, with their day and subsidiary.
 
     Inner joins: a purchase without extra info or without a live item is out.
     Extra info is taken whatever its ``op`` (a deleted subsidiary still counts);
     ``honor_deletes=True`` drops purchases whose extra-info winner is a delete.
     """
-    keys = [*by, *PK]
     p = purchase_latest.where(purchase_eligible()).select(
-        *keys, F.col("order_date").alias("transaction_date"), F.col("ingestion_ts").alias("_p_ing"))
+        *PK, F.col("order_date").alias("transaction_date"), F.col("ingestion_ts").alias("_p_ing"))
     if honor_deletes:
         extra_latest = extra_latest.where(not_deleted())
-    e = extra_latest.select(*keys, "subsidiary", F.col("ingestion_ts").alias("_e_ing"))
-    j = p.join(e, keys).join(items_sum, keys)
+    e = extra_latest.select(*PK, "subsidiary", F.col("ingestion_ts").alias("_e_ing"))
+    j = p.join(e, PK).join(items_sum, PK)
     return j.select(
-        *keys, "transaction_date", "subsidiary",
+        *PK, "transaction_date", "subsidiary",
         F.col("amount_total").alias("gmv_amount"),
         F.greatest("_p_ing", "_e_ing", "max_item_ingestion").alias("max_ingestion_ts"),
     )
@@ -75,11 +74,11 @@ def eligible_at(logs: Mapping[str, DataFrame], cutoff, honor_deletes: bool = Fal
     return eligible_purchases(s["purchase"], s["extra"], items_by_purchase(s["item"]), honor_deletes=honor_deletes)
 
 
-def aggregate_snapshot(eligible: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def aggregate_snapshot(eligible: DataFrame) -> DataFrame:
     """(day, subsidiary) totals with the audit column."""
-    return (eligible.groupBy(*by, "transaction_date", "subsidiary")
-            .agg(money(F.sum("gmv_amount")).alias("gmv_amount"),
-                 F.count(F.lit(1)).cast("int").alias("purchases_count"),
+    return (eligible.groupBy("transaction_date", "subsidiary")
+            .agg(METRICS["gmv"]().alias("gmv_amount"),
+                 METRICS["purchases_count"]().alias("purchases_count"),
                  F.max("max_ingestion_ts").alias("source_max_ingestion_ts")))
 
 
@@ -91,15 +90,46 @@ def gmv_snapshot(logs: Mapping[str, DataFrame], run: RunParams, honor_deletes: b
         "gmv_amount", "purchases_count", "source_max_ingestion_ts", F.lit(run.run_id).alias("run_id"))
 
 
+def eligible_intervals(logs: Mapping[str, DataFrame], runs: Sequence[RunParams]) -> DataFrame:
+    """Eligible purchases by interval of runs: day, subsidiary, gmv_amount, max_ingestion_ts, first_run, last_run.
+
+    A purchase is constant between the runs at which one of its versions, its
+    extra info or one of its items changes; those runs cut its time into
+    segments, and each segment is evaluated once.
+    """
+    p = latest_intervals(logs[S.PURCHASE], PK, runs, PURCHASE_COLS)
+    e = latest_intervals(logs[S.EXTRA], PK, runs, EXTRA_COLS)
+    i = latest_intervals(logs[S.ITEM], S.ENTITY_KEYS[S.ITEM], runs, ITEM_COLS)
+    i = i.where(not_deleted()).where(F.col("purchase_id").isNotNull() & F.col("purchase_partition").isNotNull())
+    start, end = F.col("first_run"), F.col("last_run")
+    cuts = p.select(*PK, start.alias("run")).unionByName(e.select(*PK, start.alias("run")))
+    cuts = cuts.unionByName(i.select(*PK, F.explode(F.array(start, end + 1)).alias("run"))).where(F.col("run") < len(runs)).distinct()
+    following = F.lead("run").over(Window.partitionBy(*PK).orderBy("run"))
+    segments = cuts.withColumn("until", F.coalesce(following - 1, F.lit(len(runs) - 1)))
+    inside = F.col("run").between(F.col("first_run"), F.col("last_run"))
+    sums = items_by_purchase(segments.join(i, PK).where(inside), ["run", "until"])
+    counted = p.where(purchase_eligible()).select(*PK, "first_run", "last_run", F.col("order_date").alias("transaction_date"),
+                                                  F.col("ingestion_ts").alias("_p_ing"))
+    counted = sums.join(counted, PK).where(inside).drop("first_run", "last_run")
+    extra = e.select(*PK, "first_run", "last_run", "subsidiary", F.col("ingestion_ts").alias("_e_ing"))
+    j = counted.join(extra, PK).where(inside)
+    return j.select("transaction_date", "subsidiary", F.col("run").alias("first_run"), F.col("until").alias("last_run"),
+                    F.col("amount_total").alias("gmv_amount"), F.greatest("_p_ing", "_e_ing", "max_item_ingestion").alias("max_ingestion_ts"))
+
+
 def multi_snapshot(logs: Mapping[str, DataFrame], runs: Sequence[RunParams]) -> DataFrame:
-    """Several snapshots in one job; equals the union of single runs."""
-    by = ["as_of_date"]
-    p = latest_as_of_many(logs[S.PURCHASE], PK, runs, PURCHASE_COLS)
-    e = latest_as_of_many(logs[S.EXTRA], PK, runs, EXTRA_COLS)
-    i = latest_as_of_many(logs[S.ITEM], S.ENTITY_KEYS[S.ITEM], runs, ITEM_COLS)
-    agg = aggregate_snapshot(eligible_purchases(p, e, items_by_purchase(i, by), by), by)
-    run_ids = F.create_map(*[x for r in runs for x in (date_lit(r.as_of_date), F.lit(r.run_id))])
-    return agg.select(
-        "transaction_date", "subsidiary", "as_of_date",
-        "gmv_amount", "purchases_count", "source_max_ingestion_ts",
-        run_ids[F.col("as_of_date")].alias("run_id"))
+    """Several snapshots in one job; equals the union of single runs.
+
+    Only changes cross the network: totals are summed per (day, subsidiary,
+    interval of runs) and spread over the runs at that grain.
+    """
+    runs = sorted(runs, key=lambda r: r.cutoff_ts)
+    by = ["transaction_date", "subsidiary"]
+    parts = eligible_intervals(logs, runs).groupBy(*by, "first_run", "last_run").agg(
+        F.sum("gmv_amount").alias("gmv_amount"), F.count(F.lit(1)).alias("n"), F.max("max_ingestion_ts").alias("seen"))
+    spread = parts.withColumn("run", F.explode(F.sequence("first_run", "last_run")))
+    as_of, run_ids = (F.element_at(F.array(*x), F.col("run") + 1) for x in (
+        [date_lit(r.as_of_date) for r in runs], [F.lit(r.run_id) for r in runs]))
+    agg = spread.groupBy(*by, "run").agg(METRICS["gmv"]().alias("gmv_amount"), F.sum("n").cast("int").alias("purchases_count"),
+                                         F.max("seen").alias("source_max_ingestion_ts"))
+    return agg.select(*by, as_of.alias("as_of_date"), "gmv_amount", "purchases_count", "source_max_ingestion_ts", run_ids.alias("run_id"))

@@ -1,17 +1,23 @@
 """Incremental run: recompute only the days touched since the previous run,
-and still write a FULL new snapshot.
+and still write a FULL new snapshot, equal to what a full run would write.
 
 The current view reads only the newest snapshot, so every snapshot must be
 complete: untouched days are carried forward from the previous snapshot
 under the new ``as_of_date`` / ``run_id``.
 
+Arrival. An event is new to a run if the previous run did not see it: it is
+stamped at or after the previous cutoff, or it entered the store with a
+delivery that the previous run did not cover (``covered``: the newest delivery
+per log at that run). The second rule catches events delivered late with an
+old stamp. It needs the store's ``delivery_id``; logs without one are taken
+as complete at every moment.
+
 Touched days. A purchase key is changed when any of its purchase or extra
-events, or any event of an item that points to it, arrived in
-``[prev_cutoff, new_cutoff)``. The days touched are the order days of every
-known version of a changed purchase: a superset of the day it counted in
-before and the day it counts in now (a day may move, an item may move
-between purchases). Recomputing a day that did not change gives the same
-rows, so the superset is exact.
+events, or any event of an item that points to it, is new. The days touched
+are the order days of every known version of a changed purchase: a superset
+of the day it counted in before and the day it counts in now (a day may move,
+an item may move between purchases). A NULL order day is a day like any other
+here, so a snapshot that a full run would refuse is refused as well.
 
 Recompute. Events are restricted by WHOLE keys before the pick (a purchase
 with any version on a touched day, items with any version pointing to such
@@ -28,40 +34,67 @@ from pyspark.sql import functions as F
 from tempora import schemas as S
 from tempora.functions.rules import RunParams, date_lit, known_before, ts_lit
 from tempora.operators.gmv import PK, aggregate_snapshot, eligible_at
+from tempora.operators.latest import prune_ingest_days
 from tempora.schemas import GOLD_COLUMNS
 from tempora.session import ensure_checkpoint_dir
 
+DAY = "transaction_date"
+
 
-# Late events touch many order days, so the share of days to recompute grows
-# fast with the gap between runs; past about a week a full run is cheaper.
-MAX_INCREMENTAL_GAP_DAYS = 7
+def _known(df: DataFrame, cutoff) -> DataFrame:
+    return prune_ingest_days(df, cutoff).where(known_before(cutoff))
 
 
-def _arrived_between(df: DataFrame, prev_cutoff, new_cutoff) -> DataFrame:
-    return df.where((F.col("ingestion_ts") >= ts_lit(prev_cutoff)) & known_before(new_cutoff))
+def new_events(df: DataFrame, prev_cutoff, new_cutoff, covered: int | None = None) -> DataFrame:
+    """Events known at the new cutoff that the previous run did not see."""
+    new = F.col("ingestion_ts") >= ts_lit(prev_cutoff)
+    if "ingest_month" in df.columns:
+        month = F.col("ingest_month") >= F.trunc(ts_lit(prev_cutoff).cast("date"), "month")
+        new = new & month
+    if covered is not None and "delivery_id" in df.columns:
+        new = new | (F.col("delivery_id") > covered)
+    return _known(df, new_cutoff).where(new)
 
 
-def changed_purchases(logs: Mapping[str, DataFrame], prev: RunParams, new: RunParams) -> DataFrame:
-    """Distinct purchase keys changed by events that arrived since ``prev``."""
-    p = _arrived_between(logs[S.PURCHASE], prev.cutoff_ts, new.cutoff_ts).select(*PK)
-    e = _arrived_between(logs[S.EXTRA], prev.cutoff_ts, new.cutoff_ts).select(*PK)
+def changed_purchases(logs: Mapping[str, DataFrame], prev: RunParams, new: RunParams,
+                      covered: Mapping[str, int] | None = None) -> DataFrame:
+    """Distinct purchase keys changed by events that are new since ``prev``."""
+    fresh = {t: new_events(logs[t], prev.cutoff_ts, new.cutoff_ts, (covered or {}).get(t)) for t in (S.PURCHASE, S.EXTRA, S.ITEM)}
     item_key = S.ENTITY_KEYS[S.ITEM]
-    touched_items = _arrived_between(logs[S.ITEM], prev.cutoff_ts, new.cutoff_ts).select(*item_key)
     # Every purchase any known version of a touched item points to (old and new winner included).
-    i = (logs[S.ITEM].where(known_before(new.cutoff_ts))
-         .join(touched_items.distinct(), item_key, "left_semi")
+    i = (_known(logs[S.ITEM], new.cutoff_ts)
+         .join(fresh[S.ITEM].select(*item_key).distinct(), item_key, "left_semi")
          .where(F.col("purchase_id").isNotNull() & F.col("purchase_partition").isNotNull())
          .select(*PK))
-    return p.unionByName(e).unionByName(i).distinct()
+    return fresh[S.PURCHASE].select(*PK).unionByName(fresh[S.EXTRA].select(*PK)).unionByName(i).distinct()
+
+
+def touched_days(logs: Mapping[str, DataFrame], changed: DataFrame, new: RunParams) -> DataFrame:
+    """Order days of every known version of the changed purchases (NULL included)."""
+    return (_known(logs[S.PURCHASE], new.cutoff_ts).join(changed, PK, "left_semi")
+            .select(F.col("order_date").alias(DAY)).distinct())
+
+
+def whole_keys(logs: Mapping[str, DataFrame], keys: DataFrame, cutoff) -> dict[str, DataFrame]:
+    """Logs cut down to the given purchases: all their versions, and all versions of items that ever pointed to them."""
+    item_key = S.ENTITY_KEYS[S.ITEM]
+    items = _known(logs[S.ITEM], cutoff)
+    item_keys = items.join(keys, PK, "left_semi").select(*item_key).distinct()
+    return {
+        S.PURCHASE: _known(logs[S.PURCHASE], cutoff).join(keys, PK, "left_semi"),
+        S.EXTRA: _known(logs[S.EXTRA], cutoff).join(keys, PK, "left_semi"),
+        S.ITEM: items.join(item_keys, item_key, "left_semi"),
+    }
 
 
 def impacted_dates(logs: Mapping[str, DataFrame], prev: RunParams, new: RunParams) -> DataFrame:
-    """Order days whose totals may differ between the two runs."""
-    keys = changed_purchases(logs, prev, new)
-    return (logs[S.PURCHASE].where(known_before(new.cutoff_ts))
-            .join(keys, PK, "left_semi")
-            .where(F.col("order_date").isNotNull())
-            .select(F.col("order_date").alias("transaction_date")).distinct())
+    """Order days on which a changed purchase counts at either cutoff."""
+    ensure_checkpoint_dir(logs[S.PURCHASE].sparkSession)
+    keys = changed_purchases(logs, prev, new).checkpoint()
+    small = whole_keys(logs, keys, new.cutoff_ts)
+    # an item that moved here may have siblings elsewhere, so count only the changed purchases themselves
+    counted = [eligible_at(small, run.cutoff_ts).join(keys, PK, "left_semi").select(DAY) for run in (prev, new)]
+    return counted[0].unionByName(counted[1]).distinct()
 
 
 def restrict_to_days(logs: Mapping[str, DataFrame], days: DataFrame, cutoff) -> dict[str, DataFrame]:
@@ -70,34 +103,27 @@ def restrict_to_days(logs: Mapping[str, DataFrame], days: DataFrame, cutoff) ->
     The key set feeds three semi joins; it is checkpointed once (shared
     checkpoint folder) instead of rescanning the purchase log three times.
     """
-    p_all = logs[S.PURCHASE].where(known_before(cutoff))
-    keys = (p_all.join(days.select(F.col("transaction_date").alias("order_date")), "order_date", "left_semi")
+    purchases = _known(logs[S.PURCHASE], cutoff)
+    keys = (purchases.join(days, purchases.order_date.eqNullSafe(days[DAY]), "left_semi")
             .select(*PK).distinct().checkpoint(eager=True))
-    item_key = S.ENTITY_KEYS[S.ITEM]
-    items = logs[S.ITEM].where(known_before(cutoff))
-    item_keys = items.join(keys, PK, "left_semi").select(*item_key).distinct()
-    return {
-        S.PURCHASE: p_all.join(keys, PK, "left_semi"),
-        S.EXTRA: logs[S.EXTRA].where(known_before(cutoff)).join(keys, PK, "left_semi"),
-        S.ITEM: items.join(item_keys, item_key, "left_semi"),
-    }
+    return whole_keys(logs, keys, cutoff)
 
 
-def incremental_snapshot(logs: Mapping[str, DataFrame], previous: DataFrame, prev: RunParams,
-                         new: RunParams) -> DataFrame:
-    """Full snapshot for ``new`` from the stored snapshot of ``prev``.
+def incremental_snapshot(logs: Mapping[str, DataFrame], previous: DataFrame, prev: RunParams, new: RunParams,
+                         covered: Mapping[str, int] | None = None) -> DataFrame:
+    """Full snapshot for ``new`` from the stored snapshot of ``prev``, made under the same delete rule.
 
-    The impacted days (at most one row per calendar day) are computed once
-    and checkpointed: they steer the restriction, the recompute and the
+    ``covered`` is the newest delivery per log that ``prev`` saw. The touched
+    days (at most one row per calendar day) are computed once and
+    checkpointed: they steer the restriction, the recompute and the
     carry-forward.
     """
     ensure_checkpoint_dir(previous.sparkSession)
-    days = impacted_dates(logs, prev, new).checkpoint(eager=True)
+    days = touched_days(logs, changed_purchases(logs, prev, new, covered), new).checkpoint(eager=True)
     small = restrict_to_days(logs, days, new.cutoff_ts)
-    fresh = (aggregate_snapshot(eligible_at(small, new.cutoff_ts).join(days, "transaction_date", "left_semi"))
-             .select("transaction_date", "subsidiary", date_lit(new.as_of_date).alias("as_of_date"),
-                     "gmv_amount", "purchases_count", "source_max_ingestion_ts", F.lit(new.run_id).alias("run_id")))
-    carried = (previous.join(days, "transaction_date", "left_anti")
-               .select("transaction_date", "subsidiary", date_lit(new.as_of_date).alias("as_of_date"),
-                       "gmv_amount", "purchases_count", "source_max_ingestion_ts", F.lit(new.run_id).alias("run_id")))
+    out = ["transaction_date", "subsidiary", date_lit(new.as_of_date).alias("as_of_date"),
+           "gmv_amount", "purchases_count", "source_max_ingestion_ts", F.lit(new.run_id).alias("run_id")]
+    again = eligible_at(small, new.cutoff_ts)
+    fresh = aggregate_snapshot(again.join(days, again[DAY].eqNullSafe(days[DAY]), "left_semi")).select(*out)
+    carried = previous.join(days, DAY, "left_anti").select(*out)
     return fresh.unionByName(carried).select(*GOLD_COLUMNS)

@@ -64,39 +64,33 @@ def latest_as_of(events: DataFrame, keys: Sequence[str], cutoff=None,
     return _pick(df, keys)
 
 
-def latest_as_of_many(events: DataFrame, keys: Sequence[str], runs: Sequence[RunParams],
-                      columns: Iterable[str] | None = None) -> DataFrame:
-    """The pick for several cutoffs in one job; adds ``as_of_date``.
-
-    Each event is tagged with the first run that can see it (its bucket: the
-    number of cutoffs at or before its arrival). One aggregate per key keeps
-    the winning version of each bucket, ``max(struct(event_ts, ingestion_ts,
-    payload))`` -- struct order is field by field, so this is exactly the
-    pick -- with a map-side partial aggregate, so a key with a huge number of
-    versions is collapsed before the shuffle. What run j sees is the best of
-    buckets 0..j: a running max over the buckets of each key, computed on the
-    aggregate's partitioning (no second exchange). The raw log is read, sorted
-    and shuffled once whatever the number of runs; rows beyond that are
-    (key, run) pairs, i.e. the output itself.
+def run_bucket(runs: Sequence[RunParams], col: str = "ingestion_ts"):
+    """Index of the first run (of runs in cutoff order) that sees an event."""
+    bucket = F.when(known_before(runs[0].cutoff_ts, col), F.lit(0))
+    for b, r in enumerate(runs[1:], start=1):
+        bucket = bucket.when(known_before(r.cutoff_ts, col), F.lit(b))
+    return bucket
+
+
+def latest_intervals(events: DataFrame, keys: Sequence[str], runs: Sequence[RunParams],
+                     columns: Iterable[str] | None = None) -> DataFrame:
+    """The pick for several cutoffs in one job, one row per winner with the runs it wins: ``first_run`` to ``last_run``.
+
+    ``runs`` must be in cutoff order. Each event belongs to the bucket of the
+    first run that sees it. The best version per (key, bucket) is trimmed by a
+    partial group limit before its shuffle; only these change candidates are
+    shuffled by key, where a running maximum tells which of them win and the
+    next winner ends the interval. Keys that do not change between runs give
+    one row, however many runs there are.
     """
-    runs = sorted(runs, key=lambda r: r.cutoff_ts)
     df = events
     if columns is not None:
-        keep = list(dict.fromkeys([*keys, *columns, "op", *ORDER]))
-        df = df.select(*keep)
-    payload = [c for c in df.columns if c not in (*keys, *ORDER)]
+        df = df.select(*dict.fromkeys([*keys, *columns, "op", *ORDER]))
     last = runs[-1].cutoff_ts
-    df = prune_ingest_days(df, last).where(known_before(last))
-    bucket = F.when(known_before(runs[0].cutoff_ts), F.lit(0))
-    for b, r in enumerate(runs[1:], start=1):
-        bucket = bucket.when(known_before(r.cutoff_ts), F.lit(b))
-    version = F.struct(*[F.col(c) for c in (*ORDER, *payload)])
-    tagged = df.select(*keys, bucket.alias("_bucket"), version.alias("_ver"))
-    per_bucket = tagged.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_bucket") == b, F.col("_ver"))).alias(f"_b{b}") for b in range(len(runs))])
-    runs_seen = per_bucket.select(
-        *keys, F.posexplode(F.array(*[F.col(f"_b{b}") for b in range(len(runs))])).alias("_run", "_ver"))
-    w = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    state = runs_seen.select(*keys, "_run", F.max("_ver").over(w).alias("_state")).where(F.col("_state").isNotNull())
-    as_of = F.element_at(F.array(*[date_lit(r.as_of_date) for r in runs]), F.col("_run") + 1)
-    return state.select(as_of.alias("as_of_date"), *keys, *[F.col("_state")[c].alias(c) for c in (*payload, *ORDER)])
+    df = prune_ingest_days(df, last).where(known_before(last)).withColumn("first_run", run_bucket(runs))
+    best = _pick(df, [*keys, "first_run"])
+    by = Window.partitionBy(*keys).orderBy("first_run")
+    version = F.struct(*ORDER)
+    before = F.max(version).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    wins = best.withColumn("_before", before).where(F.col("_before").isNull() | (version > F.col("_before"))).drop("_before")
+    return wins.withColumn("last_run", F.coalesce(F.lead("first_run").over(by) - 1, F.lit(len(runs) - 1)))

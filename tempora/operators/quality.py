@@ -2,8 +2,9 @@
 
 Parquet enforces no NOT NULL, CHECK or key, so the gates run before a write:
 one pass tags each row with the first rule it breaks; accepted and rejected
-rows are two filters of that tagged frame (nothing is dropped silently: the
-rejected side keeps the row and the reason, for a quarantine table).
+rows are two filters of that tagged frame; the rejected side keeps the row and
+the reason. The sink refuses a delivery with rejected rows unless a quarantine
+takes them.
 """
 
 from __future__ import annotations
@@ -48,20 +49,38 @@ def duplicate_keys(df: DataFrame, table: str) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
+def _content(columns: Sequence[str]) -> Column:
+    """Hash of a whole event, whatever the order of its columns."""
+    return F.xxhash64(*sorted(columns))
+
+
+def key_conflicts(batch: DataFrame, stored: DataFrame | None, table: str) -> DataFrame:
+    """Raw keys that come with different contents, in the batch or against the stored rows of its months.
+
+    One aggregate per key (partial per map task), so a key delivered very
+    often is collapsed before the shuffle. The stored side is cut to the
+    batch's keys first.
+    """
+    key, cols = S.RAW_KEYS[table], batch.columns
+    content = _content(cols).alias("content")
+    contents = batch.select(*key, content)
+    if stored is not None:
+        contents = contents.unionByName(matching(stored.select(*cols), batch, table, "left_semi").select(*key, content))
+    return (contents.groupBy(*key).agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
+            .where("lo <> hi").select(*key))
+
+
+def matching(rows: DataFrame, keys: DataFrame, table: str, how: str) -> DataFrame:
+    """Rows whose raw key is (``left_semi``) or is not (``left_anti``) among ``keys``."""
+    key = S.RAW_KEYS[table]
+    return rows.join(keys.select(*key).distinct(), key, how)
+
+
 def drop_replays(df: DataFrame, table: str) -> DataFrame:
-    """Keep one copy per raw key. A replayed event is the same row, so which
-    copy survives does not matter."""
+    """Keep one copy per raw key; ``key_conflicts`` has made sure that copies are the same row."""
     return df.dropDuplicates(S.RAW_KEYS[table])
 
 
 def not_stored_yet(batch: DataFrame, stored: DataFrame, table: str) -> DataFrame:
-    """Rows of ``batch`` whose raw key is not already stored.
-
-    Both sides carry the ingest month (a function of ``ingestion_ts``), which
-    is part of the join key: the stored side is partitioned by it, so only
-    the months present in the batch are read (dynamic partition pruning).
-    """
-    month = F.trunc("transaction_date", "month").alias("ingest_month")
-    key = [*S.RAW_KEYS[table], "ingest_month"]
-    return (batch.select("*", month).join(stored.select(*key), key, "left_anti")
-            .drop("ingest_month"))
+    """Rows of ``batch`` whose raw key is not among ``stored``, the rows of the batch's months."""
+    return matching(batch, stored, table, "left_anti")

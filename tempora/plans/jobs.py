@@ -1,6 +1,7 @@
 """Production entry points: the daily workflow on stored RAW and GOLD tables.
 
-* ``ingest``: gate, de-duplicate and append a delivery of RAW events;
+* ``ingest``: gate, check, de-duplicate and append a delivery of RAW events
+  (refused if it breaks a rule and no quarantine is named);
 * ``daily_snapshot``: the D-1 run (incremental from the newest stored
   snapshot when there is one, full otherwise), appended to GOLD once;
 * ``backfill``: all missing daily snapshots of a date range in one job;
@@ -21,9 +22,10 @@ from tempora import schemas as S
 from tempora.functions.rules import RunParams, date_lit
 from tempora.operators import gmv, incremental, margin
 from tempora.sinks.gold import GoldTable
-from tempora.sinks.raw import append_raw, raw_path, read_raw
+from tempora.sinks.raw import append_raw, newest_delivery, raw_path, read_raw
 
 LOGS = (S.PURCHASE, S.EXTRA, S.ITEM, S.COST)
+SNAPSHOT_LOGS = LOGS[:3]
 
 
 def ingest(spark: SparkSession, batch: DataFrame, raw_root: str, table: str, quarantine: str | None = None) -> dict:
@@ -31,17 +33,20 @@ def ingest(spark: SparkSession, batch: DataFrame, raw_root: str, table: str, qua
     return append_raw(spark, batch, raw_path(raw_root, table), table, quarantine)
 
 
-def raw_logs(spark: SparkSession, raw_root: str, tables=LOGS) -> dict[str, DataFrame]:
-    return {t: read_raw(spark, raw_path(raw_root, t), t, with_partition=True) for t in tables}
+def raw_logs(spark: SparkSession, raw_root: str, tables=LOGS, covered: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    """The stored logs, as far as the deliveries in ``covered`` if given (a folder filter)."""
+    logs = {t: read_raw(spark, raw_path(raw_root, t), t, with_partition=True) for t in tables}
+    return {t: df.where(F.col("delivery_id") <= covered[t]) if covered else df for t, df in logs.items()}
 
 
 def daily_snapshot(spark: SparkSession, raw_root: str, gold_path: str, as_of_date,
                    mode: str = "auto", honor_deletes: bool = False) -> bool:
     """Compute and append the snapshot for ``as_of_date``; False if already stored.
 
-    ``mode``: ``auto`` (incremental when a snapshot at most
-    ``MAX_INCREMENTAL_GAP_DAYS`` older is stored, full otherwise), ``full`` or
-    ``incremental`` (from the newest earlier snapshot, whatever its age).
+    ``mode``: ``incremental`` starts from the newest earlier snapshot,
+    ``full`` from nothing; the rows are the same. ``auto`` is incremental
+    where it can be: an earlier snapshot is stored, it is known what that
+    run was made from, and it followed the default delete rule.
     """
     if mode not in ("auto", "full", "incremental"):
         raise ValueError(mode)
@@ -49,22 +54,29 @@ def daily_snapshot(spark: SparkSession, raw_root: str, gold_path: str, as_of_dat
         raise ValueError("incremental runs follow the default delete rule; use mode='full'")
     run = RunParams.for_day(as_of_date)
     gold = GoldTable(spark, gold_path)
-    logs = raw_logs(spark, raw_root, (S.PURCHASE, S.EXTRA, S.ITEM))
+    if gold.as_of(run.as_of_date).take(1):
+        return False
+    covered = {t: newest_delivery(spark, raw_path(raw_root, t)) for t in SNAPSHOT_LOGS}
+    logs = raw_logs(spark, raw_root, SNAPSHOT_LOGS, covered)
+    snap = snapshot_for(gold, logs, run, mode, honor_deletes)
+    gold.record([run.as_of_date], covered, honor_deletes)
+    return gold.append(snap, if_stored="skip", dates=[run.as_of_date])
+
+
+def snapshot_for(gold: GoldTable, logs: dict[str, DataFrame], run: RunParams, mode: str = "auto", honor_deletes: bool = False) -> DataFrame:
+    """The snapshot of ``run``, from the newest earlier one where ``mode`` and what is known of that run allow it."""
     prev_date = None
     if mode != "full" and gold.exists() and not honor_deletes:
         prev_date = (gold.stored().where(F.col("as_of_date") < date_lit(run.as_of_date))
                      .agg(F.max("as_of_date")).first()[0])
-    if mode == "incremental" and prev_date is None:
-        raise ValueError("incremental run needs an earlier stored snapshot")
-    if mode == "auto" and prev_date is not None and \
-            (run.as_of_date - prev_date).days > incremental.MAX_INCREMENTAL_GAP_DAYS:
-        prev_date = None
-    if prev_date is not None:
-        prev = RunParams.for_day(prev_date)
-        snap = incremental.incremental_snapshot(logs, gold.as_of(prev.as_of_date), prev, run)
-    else:
-        snap = gmv.gmv_snapshot(logs, run, honor_deletes=honor_deletes)
-    return gold.append(snap, if_stored="skip")
+    made = gold.covered_by(prev_date) if prev_date is not None else None
+    usable = made is not None and not made[1]
+    if mode == "incremental" and not usable:
+        raise ValueError("an incremental run needs an earlier stored snapshot made under the default delete rule")
+    if not usable:
+        return gmv.gmv_snapshot(logs, run, honor_deletes=honor_deletes)
+    prev = RunParams.for_day(prev_date)
+    return incremental.incremental_snapshot(logs, gold.as_of(prev.as_of_date), prev, run, made[0])
 
 
 def backfill(spark: SparkSession, raw_root: str, gold_path: str, first_day, last_day) -> list:
@@ -85,23 +97,34 @@ def backfill(spark: SparkSession, raw_root: str, gold_path: str, first_day, last
     runs = [RunParams.for_day(d) for d in days if d not in stored]
     if not runs:
         return []
-    logs = raw_logs(spark, raw_root, (S.PURCHASE, S.EXTRA, S.ITEM))
-    gold.append(gmv.multi_snapshot(logs, runs))
+    covered = {t: newest_delivery(spark, raw_path(raw_root, t)) for t in SNAPSHOT_LOGS}
+    missing = [r.as_of_date for r in runs]
+    gold.record(missing, covered)
+    gold.append(gmv.multi_snapshot(raw_logs(spark, raw_root, SNAPSHOT_LOGS, covered), runs), dates=missing)
     return [r.as_of_date for r in runs]
 
 
-def current_report(spark: SparkSession, gold_path: str) -> DataFrame:
-    return _report(GoldTable(spark, gold_path).current())
+def current_report(spark: SparkSession, gold_path: str, whole: bool = False) -> DataFrame:
+    return (whole_snapshot if whole else short_report)(GoldTable(spark, gold_path).current())
 
 
-def as_of_report(spark: SparkSession, gold_path: str, as_of_date) -> DataFrame:
-    return _report(GoldTable(spark, gold_path).as_of(as_of_date))
+def as_of_report(spark: SparkSession, gold_path: str, as_of_date, whole: bool = False) -> DataFrame:
+    return (whole_snapshot if whole else short_report)(GoldTable(spark, gold_path).as_of(as_of_date))
 
 
 def margin_report(spark: SparkSession, raw_root: str, as_of_date) -> DataFrame:
     return margin.contribution_margin(raw_logs(spark, raw_root), RunParams.for_day(as_of_date).cutoff_ts)
 
 
-def _report(df: DataFrame) -> DataFrame:
-    return (df.select("transaction_date", "subsidiary", "gmv_amount")
-            .orderBy(F.col("transaction_date").asc_nulls_last(), F.col("subsidiary").asc_nulls_last()))
+def ordered(df: DataFrame) -> DataFrame:
+    """By day and subsidiary, NULLs last."""
+    return df.orderBy(F.col("transaction_date").asc_nulls_last(), F.col("subsidiary").asc_nulls_last())
+
+
+def short_report(df: DataFrame) -> DataFrame:
+    return ordered(df.select("transaction_date", "subsidiary", "gmv_amount"))
+
+
+def whole_snapshot(df: DataFrame) -> DataFrame:
+    """A snapshot with all its columns, in report order (the validation read)."""
+    return ordered(df.select(*S.GOLD_COLUMNS))

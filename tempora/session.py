@@ -47,17 +47,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    submitted = spark.sparkContext.getConf()
+    chosen = spark.conf.getAll  # submitted, or set by the caller at run time
     for k, v in _SQL_DEFAULTS.items():
-        if not submitted.contains(k):
+        if k not in chosen:
             spark.conf.set(k, v)
     if shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    spark.sparkContext.setLogLevel("ERROR")
+    if master:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -81,8 +88,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "tempora", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, never-reused folder under the shared checkpoint folder (with its scheme, if it has one)."""
+    return os.path.join(ensure_checkpoint_dir(spark), "tempora", f"{name}-{uuid.uuid4().hex[:12]}")

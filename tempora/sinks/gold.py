@@ -12,6 +12,7 @@ writes new folders; existing folders are never touched.
 from __future__ import annotations
 
 import operator
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,16 @@ from pyspark.sql import types as T
 
 from tempora import schemas as S
 from tempora.functions.rules import date_lit
-from tempora.session import ensure_checkpoint_dir
+from tempora.session import ensure_checkpoint_dir, path_exists
 
 STORED_SCHEMA = T.StructType(list(S.GOLD_SCHEMA.fields) + [T.StructField("transaction_month", T.DateType(), True)])
 
 
+FACTS_SCHEMA = T.StructType([
+    T.StructField("as_of_date", T.DateType()), T.StructField("log", T.StringType()), T.StructField("delivery_id", T.LongType()),
+    T.StructField("honor_deletes", T.BooleanType()), T.StructField("noted_at", T.TimestampType())])
+
+
 class SnapshotError(ValueError):
     """A snapshot breaks a GOLD constraint (NULL, duplicate key, rerun)."""
 
@@ -37,9 +43,7 @@ class GoldTable:
 
     # -- reads -------------------------------------------------------------
     def exists(self) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        return path_exists(self.spark, self.path)
 
     def stored(self) -> DataFrame:
         """All stored rows, with the partition column ``transaction_month``."""
@@ -77,13 +81,19 @@ class GoldTable:
         return self.stored().where(F.col("transaction_month") == date_lit(month_start)).select(*S.GOLD_COLUMNS)
 
     # -- writes ------------------------------------------------------------
-    def collisions(self, snapshot: DataFrame) -> DataFrame:
-        """Keys of ``snapshot`` already stored (a rerun of a stored run)."""
+    def collisions(self, snapshot: DataFrame, dates: Sequence | None = None) -> DataFrame:
+        """Keys of ``snapshot`` already stored (a rerun of a stored run).
+
+        ``dates`` are the snapshot's as_of_dates (one per run; found here if
+        not given): put as literals, they leave only their folders to read.
+        """
         if not self.exists():
             return snapshot.select(*S.GOLD_KEY).limit(0)
-        dates = snapshot.select("as_of_date").distinct()
-        # Only the folders of the snapshot's own as_of_date(s) are read.
-        stored = self.stored().join(dates, "as_of_date", "left_semi").select(*S.GOLD_KEY)
+        if dates is None:
+            dates = [r[0] for r in snapshot.select("as_of_date").distinct().collect()]
+        if not dates:
+            return snapshot.select(*S.GOLD_KEY).limit(0)
+        stored = self.stored().where(F.col("as_of_date").isin([date_lit(d) for d in dates])).select(*S.GOLD_KEY)
         return snapshot.select(*S.GOLD_KEY).join(stored, S.GOLD_KEY, "left_semi")
 
     @staticmethod
@@ -96,7 +106,7 @@ class GoldTable:
         return per_key.agg(F.coalesce(F.sum("null_rows"), F.lit(0)).alias("null_rows"),
                            F.coalesce(F.sum(F.when(F.col("n") > 1, 1).otherwise(0)), F.lit(0)).alias("dup_keys"))
 
-    def append(self, snapshot: DataFrame, if_stored: str = "error") -> bool:
+    def append(self, snapshot: DataFrame, if_stored: str = "error", dates: Sequence | None = None) -> bool:
         """Check, then append one or more full snapshots.
 
         The snapshot is computed once and checkpointed to the shared
@@ -111,7 +121,7 @@ class GoldTable:
         v = self.violations(snap).first()
         if v["null_rows"] or v["dup_keys"]:
             raise SnapshotError(f"snapshot breaks GOLD constraints: {v.asDict()}")
-        if self.collisions(snap).take(1):
+        if self.collisions(snap, dates).take(1):
             if if_stored == "skip":
                 return False
             raise SnapshotError("snapshot already stored: a run is never rewritten")
@@ -120,3 +130,23 @@ class GoldTable:
              .write.mode("append").partitionBy("as_of_date", "transaction_month").parquet(self.path))
         return True
 
+    # -- how the stored runs were made ----------------------------------------
+    def _facts_path(self) -> str:
+        return self.path.rstrip("/") + "__runs"
+
+    def facts(self) -> DataFrame:
+        """One row per run and log: the newest delivery the run saw, and its delete rule."""
+        if not path_exists(self.spark, self._facts_path()):
+            return self.spark.createDataFrame([], FACTS_SCHEMA)
+        return self.spark.read.schema(FACTS_SCHEMA).parquet(self._facts_path())
+
+    def record(self, as_of_dates: Sequence, covered: Mapping[str, int], honor_deletes: bool = False) -> None:
+        """Note what runs were made from; call before ``append``, so that no stored run lacks it (the last note counts)."""
+        rows = [(d, log, int(n), honor_deletes) for d in as_of_dates for log, n in covered.items()]
+        made = self.spark.createDataFrame(rows, FACTS_SCHEMA.fieldNames()[:-1]).withColumn("noted_at", F.current_timestamp())
+        made.select(*[F.col(f.name).cast(f.dataType) for f in FACTS_SCHEMA]).coalesce(1).write.mode("append").parquet(self._facts_path())
+
+    def covered_by(self, as_of_date) -> tuple[dict[str, int], bool] | None:
+        """(newest delivery per log, delete rule) of a stored run; None if it was never noted."""
+        rows = self.facts().where(F.col("as_of_date") == date_lit(as_of_date)).orderBy("noted_at").collect()  # a few per run
+        return ({r["log"]: r["delivery_id"] for r in rows}, rows[-1]["honor_deletes"]) if rows else None

@@ -1,86 +1,136 @@
-"""RAW store: append-only CDC events, partitioned by ingest month.
+"""RAW store: append-only CDC events, partitioned by ingest month and delivery.
 
-Folders are per ingest month (``ingest_month``); the ingest day
+Folders are per ingest month (``ingest_month``), then per delivery
+(``delivery_id``, counted up by each append): the ingest day
 (``transaction_date``) stays a data column. A cutoff prunes whole month
-folders and, inside the month, row groups by their ``ingestion_ts`` /
-``transaction_date`` statistics (appends arrive in ingest order, so files
-are clustered by time). Month folders keep the file count sane for long
-histories with thin days; daily volume at scale still fills large files.
+folders and, inside the month, row groups by their statistics; "what entered
+the store since" prunes delivery folders, whatever stamps the events carry.
 
-Appends are gated (domain, NOT NULL) and de-duplicated on the raw key, within
-the batch and against what is stored, so a replayed delivery is a no-op.
+An append is gated (domain, NOT NULL), checked for conflicts (one raw key with
+different contents) and de-duplicated on the raw key, so a replayed delivery
+is a no-op. A delivery that breaks a rule is refused as a whole, unless the
+caller names a quarantine for the offending rows.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tempora import schemas as S
+from tempora.functions.rules import date_lit
 from tempora.operators import quality
+from tempora.session import ensure_checkpoint_dir, path_exists
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
+PARTITION_COLUMN = "ingest_month"
+DELIVERY_COLUMN = "delivery_id"
+_MANIFEST = T.StructType([T.StructField(DELIVERY_COLUMN, T.LongType(), False)])
 
 
-PARTITION_COLUMN = "ingest_month"
+class DeliveryError(ValueError):
+    """A delivery breaks a RAW constraint and no quarantine was named."""
 
 
 def stored_schema(table: str) -> T.StructType:
     return T.StructType(list(S.raw_schema(table, derived=True).fields)
-                        + [T.StructField(PARTITION_COLUMN, T.DateType(), True)])
+                        + [T.StructField(PARTITION_COLUMN, T.DateType(), True), T.StructField(DELIVERY_COLUMN, T.LongType(), True)])
 
 
 def read_raw(spark: SparkSession, path: str, table: str, with_partition: bool = False) -> DataFrame:
     """Scan a RAW table with its fixed schema (no inference)."""
     df = spark.read.schema(stored_schema(table)).parquet(path)
-    return df if with_partition else df.drop(PARTITION_COLUMN)
+    return df if with_partition else df.drop(PARTITION_COLUMN, DELIVERY_COLUMN)
 
 
-def write_raw(df: DataFrame, path: str) -> None:
-    """Append rows that already carry ``transaction_date`` (the ingest day).
+def write_raw(df: DataFrame, path: str, delivery_id: int = 0) -> None:
+    """Append rows that already carry ``transaction_date`` (the ingest day) as one delivery.
 
-    The ``rebalance`` hint clusters rows by ingest month before the write and
-    lets AQE size the writer tasks: small months are coalesced into few files,
-    a hot month is split over several tasks instead of landing on one.
+    The ``rebalance`` hint clusters rows by ingest month before the write (one
+    shuffle) and lets AQE size the writer tasks: small months are coalesced
+    into few files, a hot month is split over several tasks.
     """
     (df.withColumn(PARTITION_COLUMN, F.trunc("transaction_date", "month"))
        .hint("rebalance", PARTITION_COLUMN)
-       .write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path))
+       .withColumn(DELIVERY_COLUMN, F.lit(delivery_id).cast("long"))
+       .write.mode("append").partitionBy(PARTITION_COLUMN, DELIVERY_COLUMN).parquet(path))
 
 
-def append_raw(spark: SparkSession, batch: DataFrame, path: str, table: str,
-               quarantine: str | None = None, dedup_batch: bool = True) -> dict:
-    """Gate, de-duplicate and append one batch; return counts.
+def _manifest(path: str) -> str:
+    return path.rstrip("/") + "__deliveries"
+
+
+def newest_delivery(spark: SparkSession, path: str) -> int:
+    """Id of the newest delivery begun (one row per delivery is read); 0 before the first."""
+    if not path_exists(spark, _manifest(path)):
+        return 0
+    return spark.read.schema(_MANIFEST).parquet(_manifest(path)).agg(F.max(DELIVERY_COLUMN)).first()[0] or 0
+
 
-    Rejected rows go to ``quarantine`` (if given) with their reason.
-    ``dedup_batch=False`` skips the in-batch de-duplication (a shuffle) for
-    callers that already dropped duplicates, such as the bronze stream; keys
-    already stored are always skipped.
+def _begin_delivery(spark: SparkSession, path: str) -> int:
+    """Note the next delivery before its rows are written: an id is never used twice."""
+    new = newest_delivery(spark, path) + 1
+    spark.range(1).select(F.lit(new).cast("long").alias(DELIVERY_COLUMN)).coalesce(1).write.mode("append").parquet(_manifest(path))
+    return new
+
+
+def months_of(df: DataFrame) -> list:
+    """Ingest months of a batch (a delivery has few)."""
+    return [r[0] for r in df.select(F.trunc("transaction_date", "month").alias("m")).distinct().where("m IS NOT NULL").collect()]
+
+
+def in_months(stored: DataFrame, months: Sequence) -> DataFrame:
+    """The stored rows of the given months; literals, so other folders are not even listed for the scan."""
+    return stored.where(F.col(PARTITION_COLUMN).isin([date_lit(m) for m in months])) if months else stored.limit(0)
+
+
+def append_raw(spark: SparkSession, batch: DataFrame, path: str, table: str,
+               quarantine: str | None = None, delivery: str | None = None) -> dict:
+    """Gate, check, de-duplicate and append one delivery; return its counts.
+
+    Rows that break a rule, and rows whose raw key comes with different
+    contents (inside the delivery or against what is stored), are refused:
+    without ``quarantine`` the whole delivery is, and nothing is written; with
+    it those rows go there with their reason, the rest is appended. The
+    quarantine holds one folder per delivery, named ``delivery`` or by the
+    rows' contents, and a repeated delivery overwrites its own folder. Rows
+    stored already are skipped. Only the months in the delivery are compared
+    with the store.
     """
+    ensure_checkpoint_dir(spark)
     tagged = quality.tag(batch, table)
     if "transaction_date" not in tagged.columns:
         tagged = tagged.withColumn("transaction_date", F.to_date("ingestion_ts"))
     cols = [f.name for f in S.raw_schema(table, derived=True)]
-    accepted = tagged.where(F.col("reject_reason").isNull()).select(*cols)
-    if dedup_batch:
-        accepted = quality.drop_replays(accepted, table)
-    if _exists(spark, path):
-        accepted = quality.not_stored_yet(accepted, read_raw(spark, path, table, with_partition=True), table)
-    write_raw(accepted, path)
-    rejected = 0
-    if quarantine:
-        rej = tagged.where(F.col("reject_reason").isNotNull())
-        rej.write.mode("append").parquet(quarantine)
-        rejected = spark.read.parquet(quarantine).count() if _exists(spark, quarantine) else 0
-    return {"path": path, "rejected": rejected}
+    tagged = tagged.select(*cols, "reject_reason").checkpoint()  # read several times below
+    sound = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    stored = None
+    if path_exists(spark, path):
+        stored = in_months(read_raw(spark, path, table, with_partition=True), months_of(sound))
+    clashes = quality.key_conflicts(sound, stored, table).checkpoint()
+    rejected = tagged.where(F.col("reject_reason").isNotNull())
+    if clashes.take(1):
+        conflicting = quality.matching(sound, clashes, table, "left_semi").withColumn("reject_reason", F.lit("key conflict"))
+        rejected = rejected.unionByName(conflicting)
+        sound = quality.matching(sound, clashes, table, "left_anti")
+    found = rejected.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*rejected.columns).cast("decimal(38,0)"))).first()
+    if found[0] and not quarantine:
+        reasons = {r[0]: r[1] for r in rejected.groupBy("reject_reason").count().collect()}
+        raise DeliveryError(f"{table}: delivery refused, {found[0]} rows break a rule: {reasons}")
+    new = quality.drop_replays(sound, table)
+    if stored is not None:
+        new = quality.not_stored_yet(new, stored, table)
+    new = new.checkpoint()
+    counts = new.agg(F.count(F.lit(1)), F.max("ingestion_ts")).first()
+    reached = sound.agg(F.max("ingestion_ts")).first()[0]
+    if counts[0]:
+        write_raw(new, path, _begin_delivery(spark, path))
+    if found[0]:
+        rejected.write.mode("overwrite").parquet(os.path.join(quarantine, f"delivery={delivery or format(abs(int(found[1])), 'x')}"))
+    return {"path": path, "accepted": counts[0], "rejected": found[0], "accepted_until": reached}
 
 
 def raw_path(root: str, table: str) -> str:

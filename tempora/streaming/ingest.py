@@ -9,8 +9,8 @@ sink stays exactly-once without a transaction log.
 Late data: nothing is dropped for arriving late (a watermark-based
 de-duplication would discard rows older than the watermark). Arrival time
 (``ingestion_ts``), never ``event_ts``, decides when a day is closed: each
-micro-batch records its arrival high-water mark, which triggers the daily
-snapshots (``streaming/snapshots.py``).
+micro-batch records the high-water mark of the rows it accepted (a rejected
+row's stamp proves nothing), which triggers the daily snapshots (``streaming/snapshots.py``).
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tempora import schemas as S
+from tempora.session import path_exists
 from tempora.sinks.raw import append_raw
 
 def land(df: DataFrame, landing: str) -> None:
@@ -41,28 +42,25 @@ def _progress_path(bronze: str) -> str:
 
 
 def start_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str, table: str,
-                 quarantine: str | None = None, max_files: int | None = None) -> StreamingQuery:
+                 quarantine: str | None, max_files: int | None = None) -> StreamingQuery:
     """Run the landing -> bronze stream over everything available now.
 
     No event is ever dropped for arriving late. Replays are removed exactly:
     copies inside a micro-batch by ``dropDuplicates`` on the raw key, copies
     of stored events by the anti join against the stored keys (both inside
     ``append_raw``), so a retried micro-batch or a re-delivered file is a no-op.
+    Rows that break a rule go to ``quarantine``, one folder per micro-batch;
+    with None such a row stops the stream.
     """
     events = read_landing(spark, landing, table, max_files)
     progress = _progress_path(bronze)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            append_raw(spark, batch, bronze, table, quarantine)
-            # Arrival high-water mark of this batch (one row), for the snapshot trigger.
-            (batch.agg(F.max("ingestion_ts").alias("max_ingestion_ts"))
-                  .where(F.col("max_ingestion_ts").isNotNull())
-                  .withColumn("batch_id", F.lit(batch_id).cast("long"))
-                  .write.mode("append").parquet(progress))
-        finally:
-            batch.unpersist()
+        done = append_raw(spark, batch, bronze, table, quarantine, delivery=f"batch-{batch_id}")
+        # Arrival high-water mark of the accepted rows (one row), for the snapshot trigger.
+        if done["accepted_until"] is not None:
+            mark = F.lit(str(done["accepted_until"])).cast("timestamp_ntz").alias("max_ingestion_ts")
+            spark.range(1).select(mark, F.lit(batch_id).cast("long").alias("batch_id")).coalesce(1).write.mode("append").parquet(progress)
 
     return (events.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
@@ -73,9 +71,7 @@ def start_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str
 def arrived_until(spark: SparkSession, bronze: str):
     """Highest ``ingestion_ts`` ingested so far into ``bronze`` (None if nothing)."""
     path = _progress_path(bronze)
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+    if not path_exists(spark, path):
         return None
     return spark.read.parquet(path).agg(F.max("max_ingestion_ts")).first()[0]
 

@@ -21,7 +21,7 @@ from tempora.sinks.raw import read_raw
 from tempora.sources import testdata as TD
 from tempora.streaming.ingest import land, read_landing, start_bronze
 from tempora.streaming.snapshots import emit_due_snapshots
-from tempora.streaming.state import current_state, start_latest_state
+from tempora.streaming.state import current_state, emit_due_states, start_latest_state, state_as_of
 
 CUTOFFS = (RUN1.cutoff_ts, RUN2.cutoff_ts)
 
@@ -66,6 +66,18 @@ def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_state(spark, changes, S.PURCHASE)
 
 
+def stream_state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase state as of run 1 kept by the stream, read after all drops (run 2's state starts from it)."""
+    root = scratch_path(spark, "stream-as-of")
+    landing, bronze, states = (os.path.join(root, x) for x in ("landing", "bronze", "states"))
+    for d in _drops(TD.purchase_cdc(spark, sf_dir)):
+        land(d, landing)
+        start_bronze(spark, landing, bronze, os.path.join(root, "ckpt"), S.PURCHASE,
+                     quarantine=os.path.join(root, "quarantine")).awaitTermination()
+        emit_due_states(spark, bronze, S.PURCHASE, states, [RUN1.as_of_date, RUN2.as_of_date])
+    return state_as_of(spark, states, RUN1.as_of_date).drop("transaction_date")
+
+
 def stream_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three logs streamed to bronze; snapshots of run 1 and run 2 emitted as
     soon as arrivals pass their cutoffs; returns the GOLD history."""
@@ -79,8 +91,8 @@ def stream_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         for t in logs:
             landing = os.path.join(root, "landing", t)
             land(drops[t][n], landing)
-            start_bronze(spark, landing, os.path.join(root, "bronze", t), os.path.join(root, "ckpt", t),
-                         t).awaitTermination()
+            start_bronze(spark, landing, os.path.join(root, "bronze", t), os.path.join(root, "ckpt", t), t,
+                         quarantine=os.path.join(root, "quarantine", t)).awaitTermination()
         emit_due_snapshots(spark, os.path.join(root, "bronze"), gold, schedule)
     return gold.history()
 
@@ -88,5 +100,6 @@ def stream_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_bronze": stream_bronze,
     "stream_latest_state": stream_latest_state,
+    "stream_state_as_of": stream_state_as_of,
     "stream_daily_snapshot": stream_daily_snapshot,
 }

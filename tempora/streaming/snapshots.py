@@ -14,18 +14,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tempora import schemas as S
 from tempora.functions.rules import RunParams
-from tempora.operators.gmv import gmv_snapshot
-from tempora.operators.incremental import MAX_INCREMENTAL_GAP_DAYS, incremental_snapshot
+from tempora.plans.jobs import SNAPSHOT_LOGS, snapshot_for
 from tempora.sinks.gold import GoldTable
-from tempora.sinks.raw import read_raw
+from tempora.sinks.raw import newest_delivery, read_raw
 from tempora.streaming.ingest import arrived_until, bronze_path
 
-SNAPSHOT_LOGS = (S.PURCHASE, S.EXTRA, S.ITEM)
-
 
 def ingest_watermark(spark: SparkSession, bronze_root: str, lateness: dt.timedelta) -> dt.datetime | None:
     marks = [arrived_until(spark, bronze_path(bronze_root, t)) for t in SNAPSHOT_LOGS]
@@ -42,27 +39,39 @@ def due_days(schedule: Iterable, watermark: dt.datetime | None, done: set) -> li
 
 
 def emit_due_snapshots(spark: SparkSession, bronze_root: str, gold: GoldTable, schedule: Iterable,
-                       lateness: dt.timedelta = dt.timedelta(0),
-                       max_gap_days: int = MAX_INCREMENTAL_GAP_DAYS) -> list[RunParams]:
-    """Append every scheduled snapshot whose cutoff the arrivals have passed.
+                       lateness: dt.timedelta = dt.timedelta(0)) -> list[RunParams]:
+    """Append every scheduled snapshot whose cutoff the accepted arrivals have passed by ``lateness``.
 
-    A snapshot whose newest stored predecessor is at most ``max_gap_days``
-    older is built incrementally from it (only the days touched by the events
-    that arrived in between are recomputed); otherwise it is a full run.
+    A snapshot with a stored predecessor is built incrementally from it, with
+    all that has entered the store since, late stamps included. Events that
+    arrive even later than ``lateness`` are not lost: ``incomplete_runs`` names
+    the stored snapshots that miss them, and the next snapshot has them.
     """
     wm = ingest_watermark(spark, bronze_root, lateness)
     # One row per stored snapshot date: bounded by the number of runs.
     done = {r[0] for r in gold.stored().select("as_of_date").distinct().collect()} if gold.exists() else set()
     runs = due_days(schedule, wm, done)
     if runs:
-        logs = {t: read_raw(spark, bronze_path(bronze_root, t), t, with_partition=True) for t in SNAPSHOT_LOGS}
+        covered = {t: newest_delivery(spark, bronze_path(bronze_root, t)) for t in SNAPSHOT_LOGS}
+        logs = {t: read_raw(spark, bronze_path(bronze_root, t), t, with_partition=True).where(F.col("delivery_id") <= covered[t])
+                for t in SNAPSHOT_LOGS}
         for r in sorted(runs, key=lambda x: x.as_of_date):
-            earlier = [d for d in done if r.as_of_date - dt.timedelta(days=max_gap_days) <= d < r.as_of_date]
-            if earlier:
-                prev = RunParams.for_day(max(earlier))
-                snap = incremental_snapshot(logs, gold.as_of(prev.as_of_date), prev, r)
-            else:
-                snap = gmv_snapshot(logs, r)
-            if gold.append(snap, if_stored="skip"):
-                done.add(r.as_of_date)
+            snap = snapshot_for(gold, logs, r)
+            gold.record([r.as_of_date], covered)
+            gold.append(snap, if_stored="skip", dates=[r.as_of_date])
     return runs
+
+
+def incomplete_runs(spark: SparkSession, bronze_root: str, gold: GoldTable) -> DataFrame:
+    """(as_of_date, log, late_events): stored snapshots and the events that entered the store too late for them."""
+    facts = gold.facts().groupBy("as_of_date", "log").agg(F.max("delivery_id").alias("seen"))
+    facts = facts.join(gold.stored().select("as_of_date").distinct(), "as_of_date", "left_semi")
+    out = None
+    for t in SNAPSHOT_LOGS:
+        # few rows per (day, delivery), so the unequal join below meets sums, not events
+        days = (read_raw(spark, bronze_path(bronze_root, t), t, with_partition=True)
+                .groupBy("transaction_date", "delivery_id").agg(F.count(F.lit(1)).alias("n")))
+        late = facts.where(F.col("log") == t).join(days, (F.col("delivery_id") > F.col("seen")) & (F.col("transaction_date") <= F.col("as_of_date")))
+        part = late.groupBy("as_of_date", "log").agg(F.sum("n").alias("late_events"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -13,14 +13,20 @@ current state is the same pick over that table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tempora import schemas as S
-from tempora.operators.latest import latest_as_of
+from tempora.functions.rules import RunParams, date_lit, known_before
+from tempora.operators.incremental import new_events
+from tempora.operators.latest import latest_as_of, prune_ingest_days
+from tempora.session import path_exists
+from tempora.sinks.raw import newest_delivery, read_raw
+from tempora.streaming.ingest import arrived_until
 
 
 def latest_state_stream(events: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -58,7 +64,7 @@ def current_state(spark: SparkSession, changes: str, table: str, base: str | Non
     read next to it, so reads stay proportional to the state, not to history.
     """
     df = spark.read.parquet(changes)
-    if base is not None and _exists(spark, base):
+    if base is not None and path_exists(spark, base):
         b = spark.read.parquet(base)
         covered = b.agg(F.max("base_batch")).first()[0]
         df = (b.where(F.col("base_batch") == covered).drop("base_batch")
@@ -80,6 +86,42 @@ def compact(spark: SparkSession, changes: str, table: str, base: str) -> int:
     return covered
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+# -- state as of a cutoff ------------------------------------------------------
+
+def emit_due_states(spark: SparkSession, bronze: str, table: str, states: str, schedule: Iterable,
+                    lateness: dt.timedelta = dt.timedelta(0)) -> list[RunParams]:
+    """Append the latest state as of every scheduled day whose cutoff the accepted arrivals have passed.
+
+    The watermark is the stream's own arrival mark (``ingestion_ts`` of the
+    accepted rows) less ``lateness``; it only decides when a day is due and
+    drops no row: the state of the next day starts from the newest stored
+    one and adds everything that entered the store since, whatever its stamp
+    (the pick is a maximum, so seeing a version twice changes nothing).
+    """
+    mark = arrived_until(spark, bronze)
+    if mark is None:
+        return []
+    done = {r[0]: r[1] for r in spark.read.parquet(states).groupBy("as_of_date").agg(F.max("covered")).collect()} \
+        if path_exists(spark, states) else {}
+    runs = [r for r in map(RunParams.for_day, schedule) if r.cutoff_ts <= mark - lateness and r.as_of_date not in done]
+    for run in sorted(runs, key=lambda r: r.cutoff_ts):
+        covered = newest_delivery(spark, bronze)
+        events = read_raw(spark, bronze, table, with_partition=True).where(F.col("delivery_id") <= covered)
+        earlier = [d for d in done if d < run.as_of_date]
+        if earlier:
+            prev = RunParams.for_day(max(earlier))
+            new = new_events(events, prev.cutoff_ts, run.cutoff_ts, done[prev.as_of_date])
+            stored = state_as_of(spark, states, prev.as_of_date)
+            events = stored.unionByName(new.select(*stored.columns))
+        else:
+            events = prune_ingest_days(events, run.cutoff_ts).where(known_before(run.cutoff_ts)).drop("ingest_month", "delivery_id")
+        (latest_as_of(events, S.ENTITY_KEYS[table])
+            .withColumn("covered", F.lit(covered).cast("long")).withColumn("as_of_date", date_lit(run.as_of_date))
+            .write.mode("append").partitionBy("as_of_date", "covered").parquet(states))
+        done[run.as_of_date] = covered
+    return runs
+
+
+def state_as_of(spark: SparkSession, states: str, as_of_date) -> DataFrame:
+    """The stored state of one day (one folder is read)."""
+    return spark.read.parquet(states).where(F.col("as_of_date") == date_lit(as_of_date)).drop("as_of_date", "covered")

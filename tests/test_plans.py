@@ -83,11 +83,34 @@ def test_margin_left_join_reuses_partitioning(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_multi_snapshot_reads_each_log_once(spark):
+def test_multi_snapshot_shuffles_changes_not_runs(spark):
     from tempora.operators.gmv import multi_snapshot
 
     logs = TD.cdc_logs(spark, "/root/testdata/sf0.001")
     runs = [RunParams.for_day(d) for d in ("1998-06-30", "1998-07-31", "2001-12-31")]
-    plan = _plan(multi_snapshot(logs, runs))
-    # one map-side partial aggregate per log, whatever the number of runs
-    assert plan.count("partial_max(CASE WHEN (_bucket") == 3 * len(runs), plan
+    plan = multi_snapshot(logs, runs)._jdf.queryExecution().sparkPlan().toString()
+    # the best version per key and bucket is trimmed before its shuffle, and nothing sorts a log to aggregate it
+    assert plan.count("WindowGroupLimit") >= 6 and "Partial" in plan and "SortAggregate" not in plan
+    # runs are spread out only above the (day, subsidiary, interval) totals
+    top = plan.index("Generate explode(sequence(")
+    assert "functions=[sum(gmv_amount" in plan[:top] and plan.count("explode(sequence(") == 1
+
+
+def test_append_reads_only_the_months_of_the_delivery(spark, stored_purchase):
+    from tempora.operators import quality
+    from tempora.sinks.raw import in_months, months_of
+
+    batch = TD.purchase_cdc(spark, "/root/testdata/sf0.001", derived=True).where("transaction_date between '1998-06-03' and '1998-06-20'")
+    plan = _formatted(quality.not_stored_yet(batch, in_months(stored_purchase, months_of(batch)), S.PURCHASE))
+    assert "PartitionFilters: [isnotnull(ingest_month" in plan and "= 1998-06-01)" in plan
+
+
+def test_rerun_guard_reads_only_its_dates(spark):
+    from tempora.operators.gmv import gmv_snapshot
+    from tempora.sinks.gold import GoldTable
+
+    g = GoldTable(spark, scratch_path(spark, "test-guard-plan"))
+    snap = gmv_snapshot(TD.cdc_logs(spark, "/root/testdata/sf0.001"), RUN)
+    g.append(snap)
+    plan = _formatted(g.collisions(snap, [RUN.as_of_date, "1998-07-01"]))
+    assert "as_of_date" in plan.split("PartitionFilters: [")[1].split("]")[0] and "1998-07-01" in plan
