@@ -56,34 +56,10 @@ def start_latest_state(spark: SparkSession, events: DataFrame, table: str, chang
             .start())
 
 
-def current_state(spark: SparkSession, changes: str, table: str, base: str | None = None) -> DataFrame:
-    """The state now: newest version per key.
-
-    Without ``base`` it is the pick over the whole change table. With a base
-    written by ``compact``, only changes after the batch the base covers are
-    read next to it, so reads stay proportional to the state, not to history.
-    """
-    df = spark.read.parquet(changes)
-    if base is not None and path_exists(spark, base):
-        b = spark.read.parquet(base)
-        covered = b.agg(F.max("base_batch")).first()[0]
-        df = (b.where(F.col("base_batch") == covered).drop("base_batch")
-              .unionByName(df.where(F.col("batch_id") > covered).drop("batch_id")))
-    else:
-        df = df.drop("batch_id")
-    return latest_as_of(df, S.ENTITY_KEYS[table])
-
-
-def compact(spark: SparkSession, changes: str, table: str, base: str) -> int:
-    """Append the current state to ``base`` tagged with the last batch it covers.
-
-    Older bases stay (append-only); readers take the newest. Returns the
-    covered batch id.
-    """
-    covered = spark.read.parquet(changes).agg(F.max("batch_id")).first()[0]
-    state = current_state(spark, changes, table, base)
-    state.withColumn("base_batch", F.lit(covered).cast("long")).write.mode("append").parquet(base)
-    return covered
+def current_state(spark: SparkSession, changes: str, table: str) -> DataFrame:
+    """The state now: newest version per key of the change table (``emit_due_states`` keeps it per day, for reads that
+    should not grow with history)."""
+    return latest_as_of(spark.read.parquet(changes).drop("batch_id"), S.ENTITY_KEYS[table])
 
 
 # -- state as of a cutoff ------------------------------------------------------

@@ -18,25 +18,35 @@ def test_stream_equals_batch(spark, name):
     assert ok, msg
 
 
-def test_compacted_state_equals_full_pick(spark):
+def test_states_as_of_equal_the_batch_pick_after_late_deliveries(spark):
     import os
 
     from tempora import schemas as S
+    from tempora.functions.rules import RunParams
+    from tempora.operators.latest import latest_as_of
+    from tempora.plans.queries import RUN1, RUN2
     from tempora.session import scratch_path
     from tempora.sources import testdata as TD
-    from tempora.streaming.ingest import land, read_landing
+    from tempora.streaming.ingest import land, start_bronze
     from tempora.streaming.queries import _drops
-    from tempora.streaming.state import compact, current_state, start_latest_state
-
-    root = scratch_path(spark, "test-compact")
-    landing, changes, base = (os.path.join(root, x) for x in ("landing", "changes", "base"))
-    drops = _drops(TD.purchase_cdc(spark, SF))
-    for n, d in enumerate(drops):
+    from tempora.streaming.state import emit_due_states, state_as_of
+
+    root = scratch_path(spark, "test-states")
+    landing, bronze, states = (os.path.join(root, x) for x in ("landing", "bronze", "states"))
+    log = TD.purchase_cdc(spark, SF)
+    first, second, third = _drops(log)
+    late = "purchase_id % 7 = 1"  # a seventh of the first drop comes with the last one
+    last_day = RunParams.for_day("1999-12-31")
+    for d in (first.where(f"NOT ({late})"), second, third.unionByName(first.where(late))):
         land(d, landing)
-        start_latest_state(spark, read_landing(spark, landing, S.PURCHASE), S.PURCHASE, changes,
-                           os.path.join(root, "ckpt")).awaitTermination()
-        if n == 1:
-            compact(spark, changes, S.PURCHASE, base)   # base covers the first two drops
-    full = sorted(tuple(r) for r in current_state(spark, changes, S.PURCHASE).collect())
-    with_base = sorted(tuple(r) for r in current_state(spark, changes, S.PURCHASE, base).collect())
-    assert with_base == full and len(full) > 0
+        start_bronze(spark, landing, bronze, os.path.join(root, "ckpt"), S.PURCHASE, quarantine=None).awaitTermination()
+        emit_due_states(spark, bronze, S.PURCHASE, states, [RUN1.as_of_date, RUN2.as_of_date, last_day.as_of_date])
+    cols = sorted(log.columns)
+
+    def rows(df):
+        return sorted(map(str, df.select(*cols).collect()))
+
+    for run in (RUN2, last_day):  # due after the last drop
+        assert rows(state_as_of(spark, states, run.as_of_date)) == rows(latest_as_of(log, S.PURCHASE_KEY, run.cutoff_ts))
+    seen = first.where(f"NOT ({late})")  # due after the second drop
+    assert rows(state_as_of(spark, states, RUN1.as_of_date)) == rows(latest_as_of(seen, S.PURCHASE_KEY, RUN1.cutoff_ts))
