@@ -11,7 +11,7 @@ encoding is its shortest path in the tropical semiring.
   pieces must be what merging makes of their joined string. So a state is the
   last piece taken, and an arc weighs 0 if the pair may stand together and
   infinity if not; exactly one path is finite. The pair table is compiled as
-  pairs are met.
+  pairs are met (the model's pieces bound it).
 
 Pieces never cross from other characters into a space mark, so the lattice of
 a text is a chain of lattices of its words; a word's path is found once per
@@ -33,7 +33,7 @@ from tempora.llm.common import map_arrow
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN, USER, BYTE = 2, 4, 6  # fixed values: kinds of pieces in the file
-CACHE = 300_000  # words whose paths a worker remembers
+CACHE = 250_000  # words whose paths a worker remembers at least
 INFINITE = float("inf")
 
 
@@ -63,6 +63,24 @@ def _fields(data: bytes):
             i += size
 
 
+class Remembered:
+    """The latest answers by key: between CACHE and twice as many; what is asked for again stays."""
+
+    def __init__(self):
+        self.new: dict[str, array] = {}
+        self.old: dict[str, array] = {}
+
+    def find(self, key: str, make) -> array:
+        got = self.new.get(key)
+        if got is None:
+            got = self.old.get(key) or make(key)
+            if len(key) <= 64:
+                if len(self.new) >= CACHE:
+                    self.old, self.new = self.new, {}
+                self.new[key] = got
+        return got
+
+
 class Transducer:
     """A compiled model: encode() and decode()."""
 
@@ -96,12 +114,12 @@ class Transducer:
         alone = "".join(c for c in "\n\r\t" if not any(c in p for p in self.ids))
         crossing = any(MARK in p.lstrip(MARK) for p in self.ids)
         self.words = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + (f"|[{alone}]" if alone else "")) if not crossing else re.compile(r"(?s).+")
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.paths: dict[str, array] = {}
-        self.units: dict[str, array] = {}
-        self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        self.pairs: dict[str, dict[str, bool]] = {}  # state -> piece -> may it follow
+        self.paths, self.units = Remembered(), Remembered()
         self.joined = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.arcs = self._reachable() if self.bpe else set(self.ids)
+        self.trie = {p[:k]: False for p in self.arcs for k in range(1, len(p))}  # prefix -> is it a piece
+        self.trie.update(dict.fromkeys(self.arcs, True))
 
     def _reachable(self) -> set[str]:
         """Pieces that merging their own characters makes, and how their last symbols came about.
@@ -178,38 +196,40 @@ class Transducer:
 
     def shortest_path(self, word: str) -> list[str]:
         """Pieces of the lattice's shortest path (single characters without a piece stand for their bytes)."""
-        n, arcs, prefixes, longest = len(word), self.arcs, self.prefixes, self.longest
-        into: list[list[str]] = [[] for _ in range(n + 1)]  # arcs by end, longest first
-        for j in range(n):
-            for i in range(j + 1, min(n, j + longest) + 1):
-                piece = word[j:i]
-                if piece in arcs:
-                    into[i].append(piece)
-                elif piece not in prefixes:
-                    break
-        back = [""] * (n + 1)
+        n, trie = len(word), self.trie.get
+        back = [""] * (n + 1)  # the last arc of the best path to each place
         if self.bpe:
-            pairs = self.pairs
-            for i in range(1, n + 1):
-                for piece in into[i]:
-                    before = back[i - len(piece)]
-                    fits = not before or pairs.get((before, piece))
-                    if fits is None:
-                        fits = pairs[before, piece] = self.may_follow(before, piece)
-                    if fits:
-                        back[i] = piece
+            for j in range(n):  # longer arcs into a place come first, and the first that fits is the only one
+                before = back[j]
+                if j and not before:
+                    before = back[j] = word[j - 1]
+                after = self.pairs.get(before)
+                if after is None:
+                    after = self.pairs[before] = {}
+                for i in range(j + 1, n + 1):
+                    piece = word[j:i]
+                    known = trie(piece)
+                    if known is None:
                         break
-                else:
-                    back[i] = word[i - 1]
-            if len(pairs) > 4 * CACHE:
-                pairs.clear()
+                    if known and not back[i]:
+                        fits = after.get(piece)
+                        if fits is None:
+                            fits = after[piece] = not before or self.may_follow(before, piece)
+                        if fits:
+                            back[i] = piece
+            back[n] = back[n] or word[-1:]
         else:
-            cost = [0.0] + [INFINITE] * n
-            for i in range(1, n + 1):
-                for piece in into[i] or [word[i - 1]]:
-                    weight = cost[i - len(piece)] - self.score.get(piece, self.worst)
-                    if weight < cost[i]:
-                        cost[i], back[i] = weight, piece
+            best = [0.0] + [-INFINITE] * n  # of equal paths the one whose last piece is longest
+            for j in range(n):
+                for i in range(j + 1, n + 1):
+                    piece = word[j:i]
+                    known = trie(piece)
+                    if known is None:
+                        break
+                    if known and best[j] + self.score[piece] > best[i]:
+                        best[i], back[i] = best[j] + self.score[piece], piece
+                if not trie(word[j]) and best[j] + self.worst > best[j + 1]:
+                    best[j + 1], back[j + 1] = best[j] + self.worst, word[j]
         out = []
         while n:
             out.append(back[n])
@@ -225,24 +245,18 @@ class Transducer:
                 out.extend(self.bytes[b] for b in p.encode())
             else:
                 out.append(self.unknown)
-        if len(unit) <= 64:
-            if len(self.units) >= CACHE:
-                self.units.clear()
-            self.units[unit] = out
         return out
 
     def _word(self, word: str) -> array:
         """A word's ids: no piece spans two neighbouring characters that no piece has side by side, so it falls into units there."""
-        out, start, joined, get = array("i"), 0, self.joined, self.units.get
-        for k in range(1, len(word) + 1):
-            if k == len(word) or word[k - 1:k + 1] not in joined:
-                unit = word[start:k]
-                out.extend(get(unit) or self._unit(unit))
-                start = k
-        if len(word) <= 64:
-            if len(self.paths) >= CACHE:
-                self.paths.clear()
-            self.paths[word] = out
+        joined = self.joined
+        cuts = [k for k in range(1, len(word)) if word[k - 1:k + 1] not in joined]
+        if not cuts:
+            return self.units.find(word, self._unit)
+        out, start = array("i"), 0
+        for k in (*cuts, len(word)):
+            out.extend(self.units.find(word[start:k], self._unit))
+            start = k
         return out
 
     def encode(self, text: str | None) -> array:
@@ -250,9 +264,11 @@ class Transducer:
         out = array("i")
         if not text:
             return out
-        get, extend = self.paths.get, out.extend
+        extend, find, paths, make = out.extend, self.paths.find, self.paths, self._word
         for word in self.words.findall(self.normalize(text)):
-            extend(get(word) or self._word(word))
+            extend(paths.new.get(word) or find(word, make))
+        if not self.bytes:  # neighbouring unknown characters are one unknown piece
+            out = array("i", [x for k, x in enumerate(out) if x != self.unknown or not k or out[k - 1] != x])
         return out
 
     def decode(self, ids) -> str:
