@@ -21,7 +21,7 @@ from tempora.llm.common import pin
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 SOURCE_WEIGHTS = (5, 2, 1)  # by rank of the source's name, repeating
-RANGE_ROWS = 20000  # rows of one (source, key range), on average
+RANGE_ROWS = 2000  # rows of one (source, key range), on average
 
 
 def words(text) -> F.Column:
