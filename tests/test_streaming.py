@@ -10,7 +10,7 @@ from oracle_check import compare, duck
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["stream_bronze", "stream_latest_state", "stream_daily_snapshot"])
+@pytest.mark.parametrize("name", ["stream_bronze", "stream_latest_state", "stream_state_as_of", "stream_daily_snapshot"])
 def test_stream_equals_batch(spark, name):
     got = E.queries()[name](spark, SF).toPandas()
     want = duck(SF).execute(E.oracle_sql()[name]).df()
