@@ -21,7 +21,7 @@ from tempora.llm.vamana import BATCH, beam_search, build
 
 SHARD = 4096  # vectors in a shard, on average
 BLOCK = 2048  # queries in a block, on average
-DEGREE, BUILD_BEAM, SEARCH_BEAM = 32, 64, 96
+DEGREE, BUILD_BEAM, SEARCH_BEAM = 32, 64, 224
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -57,6 +57,8 @@ def build_shards(rows: DataFrame, shards: int) -> DataFrame:
         return pa.table({"dim": [dim], "shard": pa.array([key[1].as_py()], pa.int32()), "graph": pa.array([graph], pa.binary())})
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    # a graph is little data and much work: a number that adaptive execution does not coalesce
+    dealt = dealt.repartition(2 * shards, "dim", "shard")
     return group_arrow(dealt, ["dim", "shard"], run, "dim long, shard int, graph binary")
 
 
