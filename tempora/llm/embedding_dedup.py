@@ -84,7 +84,10 @@ def deal(assigned: DataFrame, shard: int) -> DataFrame:
         blocks = F.coalesce(F.try_element_at(table, F.col("c")), F.lit(1))
     rows = rows.withColumn("m", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
     rows = rows.withColumn("o", F.explode(F.expr("sequence(0, m - 1)")))
-    return rows.select("rep", "n", "v", "near", "c", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "own")
+    rows = rows.select("rep", "n", "v", "near", "c", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "own")
+    # a shard is little data and much work: a number that adaptive execution does not coalesce
+    shards = sum(m * (m + 1) // 2 for m in large.values()) + len(sizes) - len(large)
+    return rows.repartition(2 * shards, "c", "i", "j")
 
 
 def _ordered(rows: pa.Table, dim: int):
