@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.session import ensure_checkpoint_dir
+from tempora.session import ensure_checkpoint_dir, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -23,6 +23,13 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage with a table in the shared folder: columnar and compressed, for many narrow rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def python_ready(spark: SparkSession) -> None:
     """Let Python workers import this package where it lies beside the driver's (elsewhere: --py-files)."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -26,13 +26,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempora.llm.common import group_arrow, map_arrow, pin
+from tempora.llm.common import group_arrow, map_arrow, pin, store
 
-CHUNK = 1 << 17  # window starts hashed at a time
+CHUNK = 1 << 16  # window starts hashed at a time
 SHARD_SEGMENTS = 8192  # kinds of segments in a shard, on average; an anchor with more is split
 
 
@@ -92,11 +93,25 @@ def segments(data: np.ndarray, valid: np.ndarray, length: int):
 def _valid_windows(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(starts of the documents, which positions start a window inside one document)."""
     starts = np.concatenate(([0], np.cumsum(sizes)))
-    change = np.zeros(starts[-1] + 1, np.int32)
+    change = np.zeros(starts[-1] + 1, np.int32)  # +1 where a document's windows begin, -1 behind the last
     long = sizes >= length
     np.add.at(change, starts[:-1][long], 1)
     np.add.at(change, (starts[1:] - length + 1)[long], -1)
-    return starts, np.cumsum(change[:-1]) > 0
+    return starts, np.cumsum(change[:-1], dtype=np.int32) > 0
+
+
+def _parts(batches, most: int = 1 << 22):
+    """Batches cut into parts of at most 4 MB of text (column 1) or one row, so that work arrays stay small."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+        start = total = 0
+        for k, size in enumerate(sizes.tolist()):
+            if total + size > most and k > start:
+                yield b.slice(start, k - start)
+                start, total = k, 0
+            total += size
+        if b.num_rows > start:
+            yield b.slice(start)
 
 
 def _binary(column) -> list[bytes]:
@@ -108,7 +123,7 @@ def document_segments(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         digest = xxhash.xxh3_64_intdigest
-        for b in batches:
+        for b in _parts(batches):
             texts = _binary(b.column(1))
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             starts, valid = _valid_windows(sizes, length)
@@ -277,11 +292,13 @@ def _merge(key, rows):
 def repeated_windows(docs: DataFrame, length: int, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
     """(doc_id, th, place, marks): segments with repeated windows; marks are window starts in the segment, null for all."""
     found = document_segments(docs, length)
+    # stored, so that the join below is between plain shuffles and the rows of a very common anchor can be split
     anchors = found.groupBy("h").agg(F.count("*").alias("n"), F.min("sk").alias("lo"), F.max("sk").alias("hi")).where("n > 1")
-    cand = pin(found.join(anchors.select(F.col("h").alias("a"), (F.col("lo") != F.col("hi")).alias("mixed")), F.col("h") == F.col("a"))
-               .select("h", "sk", "doc_id", "th", "place", "mixed"))
+    anchors = store(anchors.select(F.col("h").alias("a"), (F.col("lo") != F.col("hi")).alias("mixed")), "anchors")
+    cand = store(found.join(anchors, F.col("h") == F.col("a")).select("h", "sk", "doc_id", "th", "place", "mixed"), "segments")
     whole = cand.where("NOT mixed").select("doc_id", "th", "place", F.lit(None).cast("binary").alias("marks"))
-    kinds = pin(cand.where("mixed").groupBy("h", "sk").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "place")).alias("at")))
+    kinds = cand.where("mixed").groupBy("h", "sk").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "place")).alias("at"))
+    kinds = store(kinds, "kinds")
     total = kinds.count()
     if not total:
         return whole
@@ -335,7 +352,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, shard_segments: int = SHA
     rows = rows.join(found, rows.doc_id.eqNullSafe(found.d) & (rows.th == found.t), "left").select("doc_id", "text", "found")
 
     def run(batches):
-        for b in batches:
+        for b in _parts(batches):
             out = []
             for text, found in zip(_binary(b.column(1)), b.column(2)):
                 cover = np.zeros(len(text) + 1, np.int32)
@@ -350,7 +367,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, shard_segments: int = SHA
                             at = s + np.unique(np.frombuffer(marks, np.int32))
                             np.add.at(cover, at, 1)
                             np.add.at(cover, at + length, -1)
-                gone = np.cumsum(cover[:-1]) > 0
+                gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if gone.any() else text
                 spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                 out.append((len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
