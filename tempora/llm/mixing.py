@@ -21,7 +21,7 @@ from tempora.llm.common import pin
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 SOURCE_WEIGHTS = (5, 2, 1)  # by rank of the source's name, repeating
-RANGE_ROWS = 2000  # rows of one (source, key range), on average
+RANGE_ROWS = 2000  # rows of one (source, key range), on average; small sources have one range
 
 
 def words(text) -> F.Column:
@@ -82,12 +82,12 @@ def plan(docs: DataFrame, weights: DataFrame | None = None, share: float = 1.5,
     rows = pin(_keyed(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"),
                                   F.col("text").cast("string")), weights, seed).drop("text"))
     sizes = pin(rows.groupBy("source").agg(F.sum("_size").alias("source_size"), F.count("*").alias("n")))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    ranges = largest // RANGE_ROWS + 1
     goal = targets(sizes.select("source", "source_size"), share, most)
     goal = goal.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
     goal = pin(goal.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")))
-    cut_in = rows.withColumn("range", F.floor((1 - F.exp(-F.col("_key"))) * ranges))
+    ranges = sizes.select(F.col("source").alias("_of"), (F.floor(F.col("n") / RANGE_ROWS) + 1).alias("_ranges"))
+    cut_in = rows.join(ranges, F.col("source").eqNullSafe(F.col("_of"))).withColumn(
+        "range", F.floor((1 - F.exp(-F.col("_key"))) * F.col("_ranges"))).drop("_of", "_ranges")
     sums = cut_in.groupBy("source", "range").agg(F.sum("_size").alias("sum"))
     offset = F.sum("sum").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select(F.col("source").alias("s"), F.col("range").alias("r"), F.coalesce(offset, F.lit(0)).alias("offset"))
