@@ -1,17 +1,20 @@
 """Main text of web pages by the distribution of text over line blocks.
 
-Markup is stripped to lines, one per block of the page. A line counts with
-the length of its text, or nothing where its place in the page says that it
-is not the article (menus, headers, footers, sidebars, notices, adverts,
-forms, comments, lists of links). Lengths are summed over windows of a few
-lines; text starts where the sums surge and ends where they dive to nothing,
-and the lines in between are kept.
+Markup is stripped to lines, one per block of the page; lines whose place in
+the page says that they are not the article (menus, headers, footers,
+sidebars, notices, adverts, forms, comments) go like scripts. A line counts
+with the length of its text times a weight: more inside article or main and
+for a main heading, less outside on a page that has one, nothing for lists of
+links. The sums over
+windows of a few lines say on every page where text starts (they surge) and
+ends (they dive), and the lines in between are kept.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +23,9 @@ from pyspark.sql import functions as F
 from tempora.llm.common import map_arrow
 
 WINDOW = 3  # lines of a block
-SURGE = 60  # characters in a block where no element marks the article
+SURGE = 60  # weighted characters in a block where text starts
+DIVE = 10  # fewer end it
+MARKED, OUTSIDE = 8, 0.25  # weights of headings and lines in an article, and of others on a page that has one; else 1
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+|[^>]*)(?:>|\Z)""", re.S)
 NAMED = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 FLAG = re.compile(r"(?:^|\s)hidden(?:\s|=|$)", re.I)
@@ -54,9 +59,9 @@ def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
             or "display:none" in found.get("style", "").replace(" ", "").lower())
 
 
-def lines(page: str) -> list[tuple[str, bool, bool, int]]:
-    """(text, is boilerplate, is in an article, characters of links) of every block with text, in page order."""
-    out: list[tuple[str, bool, bool, int]] = []
+def lines(page: str) -> list[tuple[str, bool, bool, bool, int]]:
+    """(text, is boilerplate, is in an article, is a main heading, characters of links) of every block with text, in page order."""
+    out: list[tuple[str, bool, bool, bool, int]] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, article: as they hold inside
     text: list[str] = []
     linked = 0
@@ -68,7 +73,7 @@ def lines(page: str) -> list[tuple[str, bool, bool, int]]:
             line = " ".join(entities.unescape("".join(text)).split())
             if line:
                 _, bad, art = stack[-1] if stack else ("", False, False)
-                out.append((line, bad, art, linked))
+                out.append((line, bad, art, any(s[0] == "h1" for s in stack[-3:]), linked))
             text.clear()
         linked = 0
 
@@ -129,21 +134,32 @@ def lines(page: str) -> list[tuple[str, bool, bool, int]]:
     return out
 
 
+def _text(size: list[float], surge: float) -> list[int]:
+    """The lines from surge to dive, every time the window sums rise to ``surge``; lines without size are left out."""
+    sums = [sum(size[i:i + WINDOW]) for i in range(max(1, len(size) - WINDOW + 1))]
+    kept, inside, done = [], False, 0
+    for i, total in enumerate(sums):
+        inside = total > 0 and (total >= surge or inside and total >= min(DIVE, surge))
+        if inside:  # the window's lines, but for those of the window before
+            kept += [k for k in range(max(i, done), min(i + WINDOW, len(size))) if size[k]]
+            done = i + WINDOW
+    return kept
+
+
 def main_text(page: str | None) -> str:
     """The article of a page; empty for a null or empty page."""
-    found = lines(page) if page else []
-    article = any(art and not bad for _, bad, art, _ in found)
-    size = [0 if bad or article and not art or not art and 2 * linked > len(line) else len(line) for line, bad, art, linked in found]
-    sums = [sum(size[i:i + WINDOW]) for i in range(len(size))]
-    surge = 1 if article else min(SURGE, max(sums, default=0))
-    kept, inside = [], False
-    for i, (line, *_) in enumerate(found):
-        if not inside and size[i] and sums[i] >= surge:
-            inside = True
-        elif inside and not sums[i]:
-            inside = False
-        if inside and size[i]:
-            kept.append(line)
+    found = [x for x in lines(page) if not x[1]] if page else []
+    article = any(art for _, _, art, _, _ in found)
+    plain = OUTSIDE if article else 1
+    size = [len(line) * (MARKED if art else 0 if 2 * linked > len(line) else MARKED * plain if head else plain)
+            for line, _, art, head, linked in found]
+    kept, start = [], 0
+    for art, some in groupby(found, key=lambda x: x[2]):  # no window reaches over an article's edge
+        stretch = size[start:start + len(list(some))]
+        # Short pages and short articles: the most that a window holds.
+        most = max((sum(stretch[i:i + WINDOW]) for i in range(len(stretch))), default=0)
+        kept += [found[start + k][0] for k in _text(stretch, min(SURGE, most) if art or not article else SURGE)]
+        start += len(stretch)
     return " ".join(kept)
 
 
@@ -151,10 +167,10 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page's main text, from the whole html.
 
     Other columns are ignored. Null and empty pages have an empty text;
-    repeated rows are answered one by one; no pages give no rows. Where a page
-    marks its article (article or main), lines outside do not count;
-    elsewhere a block must hold ``SURGE`` characters (or the page's most) to
-    start the text.
+    repeated rows are answered one by one; no pages give no rows. A block must
+    hold ``SURGE`` weighted characters to start the text (or the most that one
+    holds in a shorter article or page) and ``DIVE`` to go on with it; article,
+    main and h1 only weigh on the lines.
     """
 
     def run(batches):

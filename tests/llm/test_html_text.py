@@ -43,3 +43,19 @@ def test_odd_pages(spark):
     assert got[0] == got[1] == got[2] == got[7] == got[8] == ""
     assert got[5] == "plain text" and got[6] == "unclosed x" and got[9] == " ".join(["w"] * 20000) and got[10] == "a < b & c é A" and got[12] == "q"
     assert extract_text(df.limit(0)).count() == 0
+
+
+def test_windows_choose_where_tags_mark_an_article_too():
+    long = "A sentence of the real text that goes on for a good while, with commas. " * 8
+    page = f"<article><p>Teaser.</p></article><div><p>{long}</p><p>Short one.</p><p>{long}</p></div><div>Imprint</div>"
+    got = main_text(page)
+    assert got.count("real text") == 16 and "Teaser." in got and "Short one." in got
+    got = main_text(f"<div>Top</div><article><p>{long}</p><p>Of.</p></article><div>Imprint 2020</div>")
+    assert got == " ".join(f"{long} Of.".split())  # short lines outside do not surge
+    got = main_text(f"<article><p>{long}</p>" + "<div class=ad>Buy</div>" * 4 + "<p>End.</p></article>")
+    assert got.endswith("End.")
+
+
+def test_test_pages_without_article_tags(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        assert main_text(re.sub("(</?)(?:article|main)>", r"\1div>", r.html)) == main_text(r.html)
