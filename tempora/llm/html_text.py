@@ -27,8 +27,7 @@ SURGE = 60  # weighted characters in a block where text starts
 DIVE = 10  # fewer end it
 MARKED, OUTSIDE = 8, 0.25  # weights of headings and lines in an article, and of others on a page that has one; else 1
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+|[^>]*)(?:>|\Z)""", re.S)
-NAMED = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-FLAG = re.compile(r"(?:^|\s)hidden(?:\s|=|$)", re.I)
+NAMED = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 # Elements and names.
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "object", "svg", "title", "xmp", "select"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -43,26 +42,39 @@ NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "spon
          "comments", "commentlist", "respond", "disqus", "replies", "social", "share", "sharing", "related", "recommended", "popup",
          "modal", "overlay", "widget", "pagination", "pager"}
 ARTICLE = {"article", "main"}
-SPLIT = re.compile(r"[^a-z0-9]+")
+SPLIT = re.compile(r"[-_]+")
 
 
-def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+def _named(name: str, names: set[str]) -> bool:
+    """A whole class name: one of ``names``, or several of them and numbers joined (cookie-notice, ad-1; not has-sidebar)."""
+    parts = [x for x in SPLIT.split(name) if x and not x.isdigit()]
+    return bool(parts) and all(x in names for x in parts)
+
+
+def _boilerplate(tag: str, attributes: str, in_article: bool) -> int:
+    """2 where the element itself says so, 1 where only its names, role, style or form do (see ``lines``), else 0."""
     if tag in ASIDE or tag == "header" and not in_article:
-        return True
-    if not attributes or tag in ("html", "body", "main"):
-        return False
+        return 1 if tag == "form" else 2
+    if not attributes or tag in ("html", "body", "main", "article"):
+        return 0
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in NAMED.finditer(attributes)}
-    names = set(SPLIT.split(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    if names & NAMES or "header" in names and not in_article:
-        return True
-    return (found.get("role", "").lower() in ROLES or found.get("aria-hidden", "").lower() == "true" or bool(FLAG.search(attributes))
-            or "display:none" in found.get("style", "").replace(" ", "").lower())
+    names = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
+    if any(_named(x, NAMES) for x in names) or "header" in names and not in_article:
+        return 1
+    return int(found.get("role", "").lower() in ROLES or found.get("aria-hidden", "").lower() == "true" or "hidden" in found
+               or "display:none" in found.get("style", "").replace(" ", "").lower())
 
 
 def lines(page: str) -> list[tuple[str, bool, bool, bool, int]]:
-    """(text, is boilerplate, is in an article, is a main heading, characters of links) of every block with text, in page order."""
-    out: list[tuple[str, bool, bool, bool, int]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, article: as they hold inside
+    """(text, is boilerplate, is in an article, is a main heading, characters of links) of every block with text, in page order.
+
+    Names, roles, styles and forms are no boilerplate around the page itself:
+    an element that holds an article or main (not one inside another), or
+    most of the page's text without links, in ``WINDOW`` lines or more.
+    """
+    out: list[tuple[str, int, bool, bool, int]] = []  # with the innermost element that may be boilerplate
+    stack: list[tuple[str, int, bool]] = []  # tag, such an element or 0, article: as they hold inside
+    sure, outer, whole = [0], [0], {0}  # of such elements, from 1: 2 if the tag says so, the one around, those that hold an article
     text: list[str] = []
     linked = 0
     at, n = 0, len(page)
@@ -72,7 +84,7 @@ def lines(page: str) -> list[tuple[str, bool, bool, bool, int]]:
         if text:
             line = " ".join(entities.unescape("".join(text)).split())
             if line:
-                _, bad, art = stack[-1] if stack else ("", False, False)
+                _, bad, art = stack[-1] if stack else ("", 0, False)
                 out.append((line, bad, art, any(s[0] == "h1" for s in stack[-3:]), linked))
             text.clear()
         linked = 0
@@ -124,14 +136,35 @@ def lines(page: str) -> list[tuple[str, bool, bool, bool, int]]:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = end.end() if end else n if tag in ("script", "style", "template", "xmp", "textarea", "title") else at
                 continue
-            _, bad, art = stack[-1] if stack else ("", False, False)
-            worse = bad or _boilerplate(tag, m[3], art)
-            if tag in BLOCKS or worse != bad:
+            _, bad, art = stack[-1] if stack else ("", 0, False)
+            doubt = _boilerplate(tag, m[3], art)
+            if tag in BLOCKS or doubt:
                 end_line()
             if tag not in VOID and not m[3].endswith("/"):
-                stack.append((tag, worse, art or tag in ARTICLE))
+                if tag in ARTICLE and not art:
+                    k = bad
+                    while k not in whole:
+                        whole.add(k)
+                        k = outer[k]
+                if doubt:
+                    sure.append(doubt)
+                    outer.append(bad)
+                    bad = len(sure) - 1
+                stack.append((tag, bad, art or tag in ARTICLE))
     end_line()
-    return out
+    own = [[0, 0] for _ in sure]  # lines and their characters
+    for line, k, _, _, linked in out:
+        if 2 * linked <= len(line):
+            own[k][0] += 1
+            own[k][1] += len(line)
+    for k in range(len(sure) - 1, 0, -1):  # the ones inside come later
+        own[outer[k]][0] += own[k][0]
+        own[outer[k]][1] += own[k][1]
+    gone = [False] * len(sure)
+    for k in range(1, len(sure)):
+        most = own[k][0] >= WINDOW and 2 * own[k][1] > own[0][1]
+        gone[k] = gone[outer[k]] or sure[k] == 2 or not (most or k in whole)
+    return [(line, gone[k], art, head, linked) for line, k, art, head, linked in out]
 
 
 def _text(size: list[float], surge: float) -> list[int]:

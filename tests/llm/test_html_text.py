@@ -59,3 +59,21 @@ def test_windows_choose_where_tags_mark_an_article_too():
 def test_test_pages_without_article_tags(spark):
     for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
         assert main_text(re.sub("(</?)(?:article|main)>", r"\1div>", r.html)) == main_text(r.html)
+
+
+def test_names_around_the_article_do_not_drop_it():
+    body = "<h1>Title</h1>" + "<p>A sentence of the real text, with commas, that goes on for a while.</p>" * 5
+    want = main_text(f"<article>{body}</article>")
+    assert want.startswith("Title A sentence") and want.count("real text") == 5
+    for page in (f'<div class="content has-sidebar"><article>{body}</article></div>',
+                 f'<div id="page" class="no-comments"><article>{body}</article></div>',
+                 f'<article class="post share-enabled">{body}</article>',
+                 f'<div class="widget"><article class="share">{body}</article></div>',
+                 f'<div title="the hidden truth"><article>{body}</article></div>',
+                 f'<div class="has-sidebar" title="the hidden truth">{body}</div>',
+                 f'<div class="menu"><div id=share>{body}</div></div>',
+                 f'<form id=aspnet><div class=ad>Buy</div>{body}</form>'):
+        assert main_text(page) == want, page
+    for part in ("<div hidden>{}</div>", "<div hidden=''>{}</div>", "<div class='cookie-notice'>{}</div>", "<div id=ad-1>{}</div>",
+                 "<section id='comments'><article class=x>{}</article></section>", "<form>{}</form>"):
+        assert main_text(f"<main>{body}{part.format('<p>Some other text that is long enough to count.</p>')}</main>") == want, part
