@@ -11,8 +11,9 @@
 5. Pairs found are verified by cosine in double precision. A task returns a
    count per point and a spanning forest, never pairs; a pair that shares
    several shards is counted in the first of them.
-6. Recall is audited against brute force on a bounded sample; below the goal
-   the overlap is widened and the search repeated.
+6. Recall is audited against brute force on points drawn until enough of them
+   have a link, per link and per point; below the goal the overlap is widened
+   and the search repeated.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ SAMPLE = 32  # sampled points per cluster that the centroids are fitted on
 SHARD = 4096  # points of a shard
 OVERLAP = 3  # clusters per point to begin with
 DEGREE, BEAM = 24, 32
-AUDIT, GOAL = 200, 0.95  # audited points and the recall asked for
+AUDIT, GOAL = 200, 0.95  # points of the first draw of an audit, and the recall asked for per link and per point
+LINKED, DRAWN = 100, 16384  # audited points that must have a link, and points drawn for them at most
 
 
 def centroids(points: DataFrame, n: int, dim: int, rounds: int = 8) -> np.ndarray:
@@ -149,29 +151,48 @@ def search(shards: DataFrame, lists: DataFrame, dim: int, cosine: float) -> Data
     return group_arrow(rows, ["c", "i", "j"], run, "rep long, links long, root long")
 
 
-def audit(points: DataFrame, counted: DataFrame, dim: int, cosine: float, sample: int = AUDIT) -> float:
-    """Recall of links on ``sample`` points (first by hash of the id), each compared with every point."""
-    rows = points.orderBy(F.xxhash64("rep", F.lit(2)), "rep").limit(sample).select("rep", "v").toArrow()
-    ids, q = rows.column("rep").to_numpy(), unit(matrix(rows.column("v"), dim))
-    shared = points.sparkSession.sparkContext.broadcast((ids, q))
+def audit(points: DataFrame, counted: DataFrame, dim: int, cosine: float, sample: int = AUDIT, linked: int = LINKED) -> float | None:
+    """Recall on points drawn by hash of the id, each compared with every point: the lower of per link and mean per point.
+
+    Draws grow from ``sample`` points until ``linked`` of them have an exact
+    link, all points are drawn or DRAWN are; None if none has a link.
+    """
+    drawn, take, got = 0, sample, np.zeros(4)
+    while True:
+        rows = points.orderBy(F.xxhash64("rep", F.lit(2)), "rep").offset(drawn).limit(take).select("rep", "v").toArrow()
+        if len(rows):
+            got += _compare(points, counted, rows.column("rep").to_numpy(), unit(matrix(rows.column("v"), dim)), cosine)
+        drawn += len(rows)
+        if got[3] >= linked or len(rows) < take or drawn >= DRAWN:
+            return float(min(got[0] / got[1], got[2] / got[3])) if got[3] else None
+        take = min(3 * drawn, DRAWN - drawn)
+
+
+def _compare(points: DataFrame, counted: DataFrame, ids: np.ndarray, q: np.ndarray, cosine: float) -> np.ndarray:
+    """Of the points ``ids``: links found, links there are, sum of the points' recalls, points with a link."""
+    shared = points.sparkSession.sparkContext.broadcast((ids, q))  # DRAWN rows at most
 
     def run(batches):
         ids, q = shared.value
         total = np.zeros(len(ids), np.int64)
         for b in batches:
             if b.num_rows:
-                near = unit(matrix(b.column(2), q.shape[1])) @ q.T >= cosine
-                near &= b.column(0).to_numpy()[:, None] != ids[None, :]
-                total += b.column(1).to_numpy() @ near
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "exact"])
+                x, rep, n = unit(matrix(b.column(2), q.shape[1])), b.column(0).to_numpy(), b.column(1).to_numpy()
+                for i in range(0, len(ids), 512):
+                    near = x @ q[i:i + 512].T >= cosine
+                    near &= rep[:, None] != ids[None, i:i + 512]
+                    total[i:i + 512] += n @ near
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(total[some])], names=["id", "exact"])
 
     exact = map_arrow(points.select("rep", "n", "v"), run, "id long, exact long").groupBy("id").agg(F.sum("exact").alias("exact"))
-    got = exact.join(counted, exact.id == counted.rep).agg(F.sum(F.least("exact", "links")), F.sum("exact")).first()
-    return 1.0 if not got[1] else float(got[0]) / float(got[1])
+    each = exact.join(counted, exact.id == counted.rep, "left").select("exact", F.least("exact", F.coalesce("links", F.lit(0))).alias("found"))
+    got = each.agg(F.sum("found"), F.sum("exact"), F.sum(F.col("found") / F.col("exact")), F.count("*")).first()
+    return np.array([float(x or 0) for x in got])
 
 
-def link_points(points: DataFrame, dim: int, cosine: float, shard: int = SHARD, goal: float = GOAL) -> tuple[DataFrame, DataFrame, float]:
-    """(rep, links), (u, v) forest edges and the audited recall, for points (rep, n, v) of one length."""
+def link_points(points: DataFrame, dim: int, cosine: float, shard: int = SHARD, goal: float = GOAL) -> tuple[DataFrame, DataFrame, float | None]:
+    """(rep, links), (u, v) forest edges and the audited recall (None: no link met), for points (rep, n, v) of one length."""
     n = points.count()
     centers = centroids(points, n, dim)
     overlap = min(OVERLAP, len(centers))
@@ -180,7 +201,7 @@ def link_points(points: DataFrame, dim: int, cosine: float, shard: int = SHARD,
         found = pin(search(shards, pin(adjacency(shards, dim)), dim, cosine))
         counted = found.groupBy("rep").agg(F.sum("links").alias("links"))
         reached = audit(points, counted, dim, cosine)
-        if reached >= goal or overlap == len(centers):
+        if reached is None or reached >= goal or overlap == len(centers):
             return counted, found.where("rep <> root").select(F.col("rep").alias("u"), F.col("root").alias("v")), reached
         overlap = min(2 * overlap, len(centers))
 
@@ -193,8 +214,8 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = 0.9, shard: int = S
     are compared. A vector that is null, empty, zero or holds null or
     non-finite components, and a row without an id, links with nothing and is
     its own class. Repeated rows link with each other. The class id is the
-    smallest vec_id that links reach; ``kept`` marks it. An empty table gives
-    no rows.
+    smallest vec_id that links reach; ``kept`` marks it. ``recall`` is null
+    where nothing was measured. An empty table gives no rows.
     """
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding")
     sound = pin(usable(rows))
@@ -203,11 +224,11 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = 0.9, shard: int = S
     for dim in sorted(r[0] for r in reps.select("dim").distinct().limit(1000).collect()):
         points = pin(reps.where(F.col("dim") == dim).select("rep", "n", "v"))
         counted, edges, reached = link_points(points, dim, cosine, shard)
-        part = counted.select("rep", "links", F.lit(reached).alias("recall")), edges
+        part = counted.select("rep", "links", F.lit(reached).cast("double").alias("recall")), edges
         parts = part if parts is None else tuple(a.unionByName(b) for a, b in zip(parts, part))
     names = ["vec_id", "n_links", "component_id", "kept", "recall"]
     alone = (F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"),
-             F.lit(1.0).alias("recall"))
+             F.lit(None).cast("double").alias("recall"))
     if parts is None:
         return rows.select("vec_id", *alone)
     counted, edges = parts

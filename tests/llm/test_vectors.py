@@ -78,3 +78,19 @@ def test_near_dedup_matches_brute_force(spark, shard, monkeypatch):
     assert all(r.n_links == 0 and r.component_id == r.vec_id and r.kept for r in alone)
     assert all(r.kept == (r.vec_id == r.component_id) for r in rows if r.vec_id is not None)
     assert embedding_dedup.embedding_near_dedup(df.limit(0)).count() == 0
+
+
+def test_audit_sees_small_groups_and_says_when_it_saw_none(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(800, 16))
+    x[:300] = x[0] + rng.normal(size=(300, 16)) * 0.01  # one group decides the links
+    x[301:400:2] = x[300:400:2] * 2 + rng.normal(size=(50, 16)) * 0.01  # pairs
+    points = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "rep long, n long, v array<double>")
+    lost = spark.createDataFrame([(i, 299 if i < 300 else 0) for i in range(800)], "rep long, links long")
+    assert embedding_dedup.audit(points, lost, 16, 0.99) < 0.9  # per link 0.999
+    none = points.where("rep >= 400")
+    assert embedding_dedup.audit(none, lost, 16, 0.99) is None
+    rare = points.where("rep >= 398")  # one pair: drawn until met
+    assert embedding_dedup.audit(rare, lost, 16, 0.99, sample=1) == 0.0
+    rows = embedding_dedup.embedding_near_dedup(table(spark, x[400:460]), 0.99).collect()
+    assert len(rows) == 60 and all(r.recall is None for r in rows)
