@@ -24,12 +24,17 @@ BLOCK = 2048  # queries in a block, on average
 DEGREE, BUILD_BEAM, SEARCH_BEAM = 32, 64, 224
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v, dim): rows with an id and a vector that is not null, empty, zero or without a finite number."""
+def is_usable() -> F.Column:
+    """True for rows with an id and a vector that is not null, empty, zero or without a finite number; else false."""
     v = F.col("embedding")
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    return vectors.where("vec_id IS NOT NULL").where(F.coalesce(sound, F.lit(False))).select(
-        F.col("vec_id").cast("long"), v.cast("array<double>").alias("v"), F.size(v).alias("dim"))
+    return F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False))
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """(vec_id, v, dim) of the rows that ``is_usable``."""
+    v = F.col("embedding")
+    return vectors.where(is_usable()).select(F.col("vec_id").cast("long"), v.cast("array<double>").alias("v"), F.size(v).alias("dim"))
 
 
 def matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempora.llm.ann import matrix, usable
+from tempora.llm.ann import is_usable, matrix, usable
 from tempora.llm.common import group_arrow, map_arrow, merge_labels, pin
 from tempora.llm.components import connected_components
 from tempora.llm.vamana import BATCH, both_ways, build, range_search
@@ -78,8 +78,8 @@ def assign(points: DataFrame, centers: np.ndarray, overlap: int) -> DataFrame:
 def deal(assigned: DataFrame, shard: int) -> DataFrame:
     """A row per point and shard (c, i, j): cluster and blocks; ``own`` is the point's block. A cluster of one block has i = j = 0."""
     rows = assigned.withColumn("c", F.explode("near"))
-    sizes = rows.groupBy("c").count().collect()  # CLUSTERS rows at most
-    large = {r[0]: -(-r[1] // (shard // 2)) for r in sizes if r[1] > shard}
+    sizes = rows.groupBy("c").count().where(F.col("count") > shard).collect()  # CLUSTERS rows at most
+    large = {r[0]: -(-r[1] // (shard // 2)) for r in sizes}
     blocks = F.lit(1)
     if large:
         table = F.create_map(*[F.lit(x) for kv in large.items() for x in kv])
@@ -89,17 +89,17 @@ def deal(assigned: DataFrame, shard: int) -> DataFrame:
     return rows.select("rep", "n", "v", "near", "c", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "own")
 
 
-def _ordered(rows: pa.Table, dim: int):
+def _ordered(rows: pa.Table):
     ids = rows.column("rep").to_numpy()
     by = np.argsort(ids)
-    return ids[by], unit(matrix(rows.column("v"), dim))[by], by
+    return ids[by], unit(matrix(rows.column("v"), len(rows.column("v")[0])))[by], by
 
 
-def adjacency(shards: DataFrame, dim: int) -> DataFrame:
+def adjacency(shards: DataFrame) -> DataFrame:
     """(rep, nbrs): the united neighbour lists of the shards' graphs."""
 
     def run(key, rows):
-        ids, x, _ = _ordered(rows, dim)
+        ids, x, _ = _ordered(rows)
         edges, _ = build(x.astype(np.float32), DEGREE, BEAM)
         ends = np.cumsum((edges >= 0).sum(axis=1))
         nbrs = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids[edges[edges >= 0]]))
@@ -109,13 +109,13 @@ def adjacency(shards: DataFrame, dim: int) -> DataFrame:
     return lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs"))
 
 
-def search(shards: DataFrame, lists: DataFrame, dim: int, cosine: float) -> DataFrame:
+def search(shards: DataFrame, lists: DataFrame, cosine: float) -> DataFrame:
     """(rep, links, root): per point and shard the rows linked (counted by multiplicity) and an edge of the shard's forest."""
     radius2 = 2 - 2 * cosine + 1e-5  # of float vectors; verified below
 
     def run(key, rows):
         c, i, j = (k.as_py() for k in key)
-        ids, x, by = _ordered(rows, dim)
+        ids, x, by = _ordered(rows)
         n, own = (rows.column(f).to_numpy()[by] for f in ("n", "own"))
         near = matrix(rows.column("near"), len(rows.column("near")[0]))[by]
         lists = rows.column("nbrs").combine_chunks().take(pa.array(by))
@@ -198,7 +198,7 @@ def link_points(points: DataFrame, dim: int, cosine: float, shard: int = SHARD,
     overlap = min(OVERLAP, len(centers))
     while True:
         shards = pin(deal(assign(points, centers, overlap), shard))
-        found = pin(search(shards, pin(adjacency(shards, dim)), dim, cosine))
+        found = pin(search(shards, pin(adjacency(shards)), cosine))
         counted = found.groupBy("rep").agg(F.sum("links").alias("links"))
         reached = audit(points, counted, dim, cosine)
         if reached is None or reached >= goal or overlap == len(centers):
@@ -206,6 +206,28 @@ def link_points(points: DataFrame, dim: int, cosine: float, shard: int = SHARD,
         overlap = min(2 * overlap, len(centers))
 
 
+def link_lengths(reps: DataFrame, cosine: float, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
+    """(rep, links, recall) and (u, v) for points (rep, n, v, dim) of any number of lengths, each of one cluster's points: the length is the cluster."""
+    shards = pin(deal(reps.select("rep", "n", "v", F.array("dim").alias("near")), shard))
+    found = pin(search(shards, pin(adjacency(shards)), cosine))
+    counted = found.groupBy("rep").agg(F.sum("links").alias("links"))
+
+    def run(key, rows):
+        ids, x, by = _ordered(rows)
+        n = rows.column("n").to_numpy()[by]
+        near = x @ x.T >= cosine
+        np.fill_diagonal(near, False)
+        return pa.table({"id": ids, "dim": pa.array(np.full(len(ids), key[0].as_py(), np.int32)), "exact": near @ n})
+
+    # at most CLUSTER points each, so all of them are audited
+    exact = group_arrow(reps.select("dim", "rep", "n", "v"), ["dim"], run, "id long, dim int, exact long")
+    each = pin(exact.join(counted, exact.id == counted.rep).select("rep", "dim", "links", "exact", F.least("links", "exact").alias("got")))
+    recall = each.where("exact > 0").groupBy(F.col("dim").alias("d")).agg(
+        F.least(F.sum("got") / F.sum("exact"), F.avg(F.col("got") / F.col("exact"))).alias("recall"))
+    counted = each.join(recall, F.col("dim") == F.col("d"), "left").select("rep", "links", "recall")
+    return counted, found.where("rep <> root").select(F.col("rep").alias("u"), F.col("root").alias("v"))
+
+
 def embedding_near_dedup(vectors: DataFrame, cosine: float = 0.9, shard: int = SHARD) -> DataFrame:
     """Link classes of vectors: vec_id, n_links, component_id, kept, recall (audited) for every row.
 
@@ -220,8 +242,11 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = 0.9, shard: int = S
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding")
     sound = pin(usable(rows))
     reps = pin(sound.groupBy("dim", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
+    sizes = pin(reps.groupBy(F.col("dim").alias("d")).count())
     parts = None
-    for dim in sorted(r[0] for r in reps.select("dim").distinct().limit(1000).collect()):
+    if not (small := sizes.where(F.col("count") <= CLUSTER)).isEmpty():
+        parts = link_lengths(pin(reps.join(small, F.col("dim") == F.col("d")).select("rep", "n", "v", "dim")), cosine, shard)
+    for dim in sorted(r[0] for r in sizes.where(F.col("count") > CLUSTER).collect()):  # one length in CLUSTER points at most
         points = pin(reps.where(F.col("dim") == dim).select("rep", "n", "v"))
         counted, edges, reached = link_points(points, dim, cosine, shard)
         part = counted.select("rep", "links", F.lit(reached).cast("double").alias("recall")), edges
@@ -238,5 +263,4 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = 0.9, shard: int = S
         F.coalesce("component", "rep").alias("component_id"), "recall")
     linked = sound.join(known, (F.col("dim") == F.col("d")) & (F.col("v") == F.col("w"))).withColumn(
         "kept", F.col("vec_id") == F.col("component_id")).select(*names)
-    rest = rows.join(sound.select(F.col("vec_id").alias("s")).distinct(), F.col("vec_id") == F.col("s"), "left_anti")
-    return linked.unionByName(rest.select("vec_id", *alone))
+    return linked.unionByName(rows.where(~is_usable()).select("vec_id", *alone))

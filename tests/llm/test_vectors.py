@@ -94,3 +94,17 @@ def test_audit_sees_small_groups_and_says_when_it_saw_none(spark):
     assert embedding_dedup.audit(rare, lost, 16, 0.99, sample=1) == 0.0
     rows = embedding_dedup.embedding_near_dedup(table(spark, x[400:460]), 0.99).collect()
     assert len(rows) == 60 and all(r.recall is None for r in rows)
+
+
+def test_every_length_and_every_odd_row_is_answered(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for dim in range(1, 1041):  # more lengths than a thousand, a near pair each
+        v = rng.normal(size=dim)
+        rows += [(2 * dim, v.tolist(), 0), (2 * dim + 1, (v * 2).tolist(), 0)]
+    rows += [(2, None, 0), (3, [0.0], 0), (None, [1.0], 0)]  # ids that also occur with a sound vector
+    got = embedding_dedup.embedding_near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert len(got) == len(rows)
+    linked = {r.vec_id: r for r in got if r.n_links}
+    assert len(linked) >= 2 * 1040 - 2 and all(r.n_links == 1 and r.component_id == i - i % 2 and r.recall == 1.0 for i, r in linked.items())
+    assert sorted(r.vec_id for r in got if not r.n_links and r.vec_id is not None)[-2:] == [2, 3]
