@@ -4,7 +4,7 @@ Every kind of span is found by its pattern, leftmost and non-overlapping; a
 span's place follows from the lengths of the pieces between the matches. The
 parts of a credential that are too weak alone (an unlabelled key, a user
 name, an endpoint) are linked to the parts that complete them by an interval
-join per document: window ranges over the starts, one scope to either side.
+join per document: windows find the gap to the part before and to the next.
 """
 
 from __future__ import annotations
@@ -61,19 +61,22 @@ def find_parts(texts: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def link_parts(parts: DataFrame, keys: list[str], scope: int) -> DataFrame:
-    """Base spans, and the weak ones that a complementary part completes within ``scope`` code points.
+    """Base spans, and the weak ones that a complementary part completes at a gap of ``scope`` code points or less.
 
     A weak key needs an identifier, a weak identifier needs a key, an
     endpoint needs both. Weak spans inside a base span say nothing new and go.
     """
     is_in = lambda names: F.col("k").isin([KINDS.index(x) for x in names])
     by = Window.partitionBy(*keys).orderBy("start")
-    near = by.rangeBetween(-scope, scope)
     there = by.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = Window.partitionBy(*keys).orderBy("start").rangeBetween(Window.currentRow, Window.unboundedFollowing)
     base = F.col("k") < len(BASE)
     tagged = parts.withColumn("inside", ~base & (F.coalesce(F.max(F.when(base, F.col("end"))).over(there), F.lit(0)) >= F.col("end")))
-    tagged = tagged.where(~F.col("inside")).withColumn("ids", F.max(is_in(IDS).cast("int")).over(near)).withColumn(
-        "secrets", F.max(is_in(KEYS).cast("int")).over(near))
+    tagged = tagged.where(~F.col("inside"))
+    for name, side in (("ids", IDS), ("secrets", KEYS)):  # the gap from the end of the farther-reaching part before, or to the start of the next
+        back = F.col("start") - F.max(F.when(is_in(side), F.col("end"))).over(there)
+        on = F.min(F.when(is_in(side), F.col("start"))).over(ahead) - F.col("end")
+        tagged = tagged.withColumn(name, (F.coalesce(F.least(back, on), F.lit(scope + 1)) <= scope).cast("int"))
     kind = lambda x: F.col("k") == KINDS.index(x)
     return tagged.where(base | (kind("weak_key") & (F.col("ids") == 1)) | (kind("weak_id") & (F.col("secrets") == 1))
                         | (kind("endpoint") & (F.col("ids") == 1) & (F.col("secrets") == 1))).select(*keys, "k", "start", "end")

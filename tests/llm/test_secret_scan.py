@@ -59,3 +59,12 @@ def test_redact_masks_and_keeps_every_row(spark):
     assert by[3].text == '[secret]" end' and by[3].n_chars == len(by[3].text)
     assert by[8].text == "é😀 secret='äx' [secret]"
     assert redact(df.limit(0)).count() == 0 and scan_secrets(df.limit(0)).count() == 0
+
+
+def test_scope_is_the_gap_between_parts(spark):
+    long = KEY * 10  # 320 characters
+    texts = [f"{long} user=bob", f"user=bob {long}", f"secret={'a' * 300} user=bob", f"{long} {'- ' * 101}user=bob", f"user=bob {'- ' * 101}{long}",
+             f"{long} x secret=abcdef {'- ' * 60}user=bob"]
+    got = {r.doc_id: [x.split(":")[0] for x in r.spans.split(",") if x] for r in scan_secrets(docs(spark, texts)).collect()}
+    assert got[0] == ["weak_key", "weak_id"] and got[1] == ["weak_id", "weak_key"] and got[2][-1] == "weak_id"
+    assert got[3] == got[4] == [] and got[5] == ["weak_key", "assign", "weak_id"]
