@@ -71,6 +71,12 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.whitening import whiten_embeddings
+
+    return whiten_embeddings(read(spark, sf_dir, "embeddings"), components=16, grid=64, offset=1_000_000)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -82,4 +88,5 @@ QUERIES = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_html_text": op10_html_text,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
