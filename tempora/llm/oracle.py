@@ -128,8 +128,25 @@ SELECT t.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
 FROM texts t LEFT JOIN found f ON t.rid = f.rid
 """
 
+# 40 hex digits of a SHA-1 as 32 letters of base32: each 5 digits are 20 bits, hence 4 letters
+OP12 = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS body FROM pages),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS place,
+         max(page_id) OVER (PARTITION BY body) AS newest
+  FROM p),
+letters AS (
+  SELECT body, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                                 1 + ((('0x' || substr(sha1(body), 1 + 5 * (i // 4), 5))::INTEGER >> (15 - 5 * (i % 4))) & 31), 1), '' ORDER BY i) AS b32
+  FROM (SELECT DISTINCT body FROM p) CROSS JOIN (SELECT unnest(range(32))::INTEGER AS i) GROUP BY body)
+SELECT page_id, strlen(r.body)::BIGINT AS payload_bytes, b32 AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN newest END AS refers_to
+FROM ranked r JOIN letters l ON r.body = l.body
+"""
+
 ORACLE: dict[str, str] = {
     "op4_mix_sources": OP4,
     "op6_url_filter": OP6,
     "op7_secret_scan": OP7,
+    "op12_warc": OP12,
 }

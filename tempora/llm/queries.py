@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tempora.llm.common import read
+from tempora.session import scratch_path
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +78,15 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten_embeddings(read(spark, sf_dir, "embeddings"), components=16, grid=64, offset=1_000_000)
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.warc import page_of, read_archives, write_archives
+
+    path = scratch_path(spark, "warc")
+    write_archives(read(spark, sf_dir, "pages"), path, min_bytes=0)
+    return read_archives(spark, path, payloads=False).select(
+        page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of("refers_to").alias("refers_to"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -89,4 +99,5 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_html_text": op10_html_text,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_warc": op12_warc,
 }

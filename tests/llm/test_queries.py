@@ -20,7 +20,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
 
 
 def test_alias_sql_equals_operator(spark):
