@@ -144,9 +144,48 @@ SELECT page_id, strlen(r.body)::BIGINT AS payload_bytes, b32 AS payload_digest,
 FROM ranked r JOIN letters l ON r.body = l.body
 """
 
+# crc32 by the usual table of 256 remainders, made from its polynomial
+OP13 = """
+WITH told AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT c, length(body)::BIGINT AS chars, sha256(length(role)::VARCHAR || ':' || role || body) AS token,
+         row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(length(role)::VARCHAR || ':' || role || body)) AS pos
+  FROM told),
+remainders AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: xor(r >> 1, (r & 1) * 3988292384)) AS v
+    FROM (SELECT unnest(range(256)) AS i))),
+ids AS (
+  SELECT c, c - c % 100 AS base,
+         xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+                                     lambda r, x: xor(r >> 8, t[1 + (xor(r, x) & 255)]))) % 6 AS h
+  FROM (SELECT DISTINCT c FROM turns), remainders),
+parts AS (
+  SELECT ids.c, 0 AS part, pos, token, chars FROM ids JOIN turns ON turns.c = base AND pos <= h
+  UNION ALL SELECT ids.c, 1, pos, token, chars FROM ids JOIN turns ON turns.c = ids.c AND pos > h),
+deep AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS depth FROM parts),
+steps AS (
+  SELECT c, depth, chars, string_agg(token, ',') OVER (PARTITION BY c ORDER BY depth) AS path FROM deep
+  UNION ALL SELECT c, 0, 0, '' FROM ids),
+linked AS (SELECT *, lag(path) OVER w AS up, lead(depth) OVER w IS NULL AS last FROM steps WINDOW w AS (PARTITION BY c ORDER BY depth)),
+nodes AS (
+  SELECT depth, path, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256
+  FROM linked GROUP BY depth, path),
+families AS (SELECT up AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up),
+whole AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN families ON nodes.path = families.path),
+below AS (
+  SELECT s.depth, s.path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * w.chars) AS saved_tokens
+  FROM whole w JOIN steps s ON s.c = w.conv_id AND s.depth <= w.depth GROUP BY s.depth, s.path)
+SELECT w.conv_id, w.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, w.ends_sha256
+FROM whole w JOIN below b ON w.path = b.path AND w.depth = b.depth LEFT JOIN whole p ON w.depth > 0 AND p.path = w.up AND p.depth = w.depth - 1
+"""
+
 ORACLE: dict[str, str] = {
     "op4_mix_sources": OP4,
     "op6_url_filter": OP6,
     "op7_secret_scan": OP7,
     "op12_warc": OP12,
+    "op13_prefix_trie": OP13,
 }

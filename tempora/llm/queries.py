@@ -87,6 +87,12 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of("refers_to").alias("refers_to"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tempora.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(read(spark, sf_dir, "conversations"), modulus=100, openings=6)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -100,4 +106,5 @@ QUERIES = {
     "op10_html_text": op10_html_text,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_warc": op12_warc,
+    "op13_prefix_trie": op13_prefix_trie,
 }
