@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempora import schemas as S
-from tempora.functions.rules import RunParams, date_lit
+from tempora.functions.rules import RunParams
 from tempora.operators import gmv, incremental, margin
 from tempora.sinks.gold import GoldTable
 from tempora.sinks.raw import append_raw, newest_delivery, raw_path, read_raw
+from tempora.sinks.silver import SilverStore
 
 LOGS = (S.PURCHASE, S.EXTRA, S.ITEM, S.COST)
 SNAPSHOT_LOGS = LOGS[:3]
@@ -39,6 +40,16 @@ def raw_logs(spark: SparkSession, raw_root: str, tables=LOGS, covered: dict[str,
     return {t: df.where(F.col("delivery_id") <= covered[t]) if covered else df for t, df in logs.items()}
 
 
+def silver_store(spark: SparkSession, raw_root: str) -> SilverStore:
+    """The silver store kept beside the RAW logs."""
+    return SilverStore(spark, raw_root.rstrip("/") + "__silver")
+
+
+def arrivals(logs: dict[str, DataFrame], prev: RunParams, new: RunParams, covered: dict[str, int]) -> dict[str, DataFrame]:
+    """Per log the events known at ``new`` that ``prev``, which saw the deliveries ``covered``, did not see."""
+    return {t: incremental.new_events(logs[t], prev.cutoff_ts, new.cutoff_ts, covered.get(t)) for t in SNAPSHOT_LOGS}
+
+
 def daily_snapshot(spark: SparkSession, raw_root: str, gold_path: str, as_of_date,
                    mode: str = "auto", honor_deletes: bool = False) -> bool:
     """Compute and append the snapshot for ``as_of_date``; False if already stored.
@@ -54,21 +65,26 @@ def daily_snapshot(spark: SparkSession, raw_root: str, gold_path: str, as_of_dat
         raise ValueError("incremental runs follow the default delete rule; use mode='full'")
     run = RunParams.for_day(as_of_date)
     gold = GoldTable(spark, gold_path)
-    if gold.as_of(run.as_of_date).take(1):
+    if gold.is_stored(run.as_of_date):
         return False
     covered = {t: newest_delivery(spark, raw_path(raw_root, t)) for t in SNAPSHOT_LOGS}
     logs = raw_logs(spark, raw_root, SNAPSHOT_LOGS, covered)
-    snap = snapshot_for(gold, logs, run, mode, honor_deletes)
-    gold.record([run.as_of_date], covered, honor_deletes)
-    return gold.append(snap, if_stored="skip", dates=[run.as_of_date])
+    snap = snapshot_for(gold, logs, run, raw_root, covered, mode, honor_deletes)
+    return gold.append(snap, if_stored="skip", dates=[run.as_of_date], covered=covered, honor_deletes=honor_deletes)
+
 
+def snapshot_for(gold: GoldTable, logs: dict[str, DataFrame], run: RunParams, raw_root: str, covered: dict[str, int],
+                 mode: str = "auto", honor_deletes: bool = False) -> DataFrame:
+    """The snapshot of ``run``, from the newest earlier one where ``mode`` and what is known of that run allow it.
 
-def snapshot_for(gold: GoldTable, logs: dict[str, DataFrame], run: RunParams, mode: str = "auto", honor_deletes: bool = False) -> DataFrame:
-    """The snapshot of ``run``, from the newest earlier one where ``mode`` and what is known of that run allow it."""
+    ``logs`` hold the deliveries up to ``covered`` of the RAW store at
+    ``raw_root``. An incremental run first merges those that the silver store
+    does not have yet; where that store is ahead of ``covered`` already (an
+    older run is made up for), it reads the logs alone.
+    """
     prev_date = None
-    if mode != "full" and gold.exists() and not honor_deletes:
-        prev_date = (gold.stored().where(F.col("as_of_date") < date_lit(run.as_of_date))
-                     .agg(F.max("as_of_date")).first()[0])
+    if mode != "full" and not honor_deletes:
+        prev_date = max((d for d in gold.run_dates() if d < run.as_of_date), default=None)
     made = gold.covered_by(prev_date) if prev_date is not None else None
     usable = made is not None and not made[1]
     if mode == "incremental" and not usable:
@@ -76,7 +92,10 @@ def snapshot_for(gold: GoldTable, logs: dict[str, DataFrame], run: RunParams, mo
     if not usable:
         return gmv.gmv_snapshot(logs, run, honor_deletes=honor_deletes)
     prev = RunParams.for_day(prev_date)
-    return incremental.incremental_snapshot(logs, gold.as_of(prev.as_of_date), prev, run, made[0])
+    silver = silver_store(gold.spark, raw_root)
+    if silver.refresh(raw_root, covered) != covered:
+        return incremental.incremental_snapshot(logs, gold.as_of(prev.as_of_date), prev, run, made[0])
+    return incremental.incremental_from(silver, arrivals(logs, prev, run, made[0]), gold.as_of(prev.as_of_date), run)
 
 
 def backfill(spark: SparkSession, raw_root: str, gold_path: str, first_day, last_day) -> list:
@@ -87,20 +106,14 @@ def backfill(spark: SparkSession, raw_root: str, gold_path: str, first_day, last
     """
     first, last = RunParams.for_day(first_day).as_of_date, RunParams.for_day(last_day).as_of_date
     gold = GoldTable(spark, gold_path)
-    stored = set()
-    if gold.exists():
-        # one row per stored snapshot date in the range (bounded by the range length)
-        stored = {r[0] for r in gold.stored()
-                  .where((F.col("as_of_date") >= date_lit(first)) & (F.col("as_of_date") <= date_lit(last)))
-                  .select("as_of_date").distinct().collect()}
+    stored = set(gold.run_dates())
     days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
     runs = [RunParams.for_day(d) for d in days if d not in stored]
     if not runs:
         return []
     covered = {t: newest_delivery(spark, raw_path(raw_root, t)) for t in SNAPSHOT_LOGS}
     missing = [r.as_of_date for r in runs]
-    gold.record(missing, covered)
-    gold.append(gmv.multi_snapshot(raw_logs(spark, raw_root, SNAPSHOT_LOGS, covered), runs), dates=missing)
+    gold.append(gmv.multi_snapshot(raw_logs(spark, raw_root, SNAPSHOT_LOGS, covered), runs), dates=missing, covered=covered)
     return [r.as_of_date for r in runs]
 
 

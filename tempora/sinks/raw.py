@@ -1,10 +1,18 @@
-"""RAW store: append-only CDC events, partitioned by ingest month and delivery.
-
-Folders are per ingest month (``ingest_month``), then per delivery
-(``delivery_id``, counted up by each append): the ingest day
-(``transaction_date``) stays a data column. A cutoff prunes whole month
-folders and, inside the month, row groups by their statistics; "what entered
-the store since" prunes delivery folders, whatever stamps the events carry.
+"""RAW store: append-only CDC events, partitioned by ingest month; deliveries first, compacted later.
+
+Two areas make one table. New deliveries lie in ``<path>/ingest_month=M/delivery_id=N/``;
+every ``COMPACT_EVERY`` deliveries those are merged into ``<path>__base``, which
+holds one version per ingest month with the delivery as a column, sorted by
+groups of deliveries and then by key, so that row groups are skipped by either.
+Folders and files therefore do not grow with the number of deliveries or
+micro-batches. A cutoff prunes whole month folders and, inside the month, row
+groups by their statistics; "what entered the store since" prunes delivery
+folders and row groups, whatever stamps the events carry.
+
+A delivery counts once its note (``<path>__deliveries/N``) is there, written
+after its rows: what a writer that died has left is invisible, and the next
+delivery, which takes the same number, removes it. Each log has one appender at
+a time, which also compacts.
 
 An append is gated (domain, NOT NULL), checked for conflicts (one raw key with
 different contents) and de-duplicated on the raw key, so a replayed delivery
@@ -15,7 +23,7 @@ caller names a quarantine for the offending rows.
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +33,13 @@ from tempora import schemas as S
 from tempora.functions.rules import date_lit
 from tempora.operators import quality
 from tempora.session import ensure_checkpoint_dir, path_exists
+from tempora.sinks.notes import Notes, delete, folders
+from tempora.sinks.versioned import VersionedTable, values_of
 
 PARTITION_COLUMN = "ingest_month"
 DELIVERY_COLUMN = "delivery_id"
-_MANIFEST = T.StructType([T.StructField(DELIVERY_COLUMN, T.LongType(), False)])
+COMPACT_EVERY = 32  # deliveries
+NOTES_KEPT = 8
 
 
 class DeliveryError(ValueError):
@@ -40,14 +51,34 @@ def stored_schema(table: str) -> T.StructType:
                         + [T.StructField(PARTITION_COLUMN, T.DateType(), True), T.StructField(DELIVERY_COLUMN, T.LongType(), True)])
 
 
+def _base(spark: SparkSession, path: str, table: str) -> VersionedTable:
+    return VersionedTable(spark, path.rstrip("/") + "__base", stored_schema(table), PARTITION_COLUMN)
+
+
+def _notes(spark: SparkSession, path: str) -> Notes:
+    return Notes(spark, path.rstrip("/") + "__deliveries")
+
+
+def newest_delivery(spark: SparkSession, path: str) -> int:
+    """Number of the newest complete delivery (a listing); 0 before the first."""
+    names = _notes(spark, path).names()
+    return int(names[-1]) if names else 0
+
+
 def read_raw(spark: SparkSession, path: str, table: str, with_partition: bool = False) -> DataFrame:
-    """Scan a RAW table with its fixed schema (no inference)."""
-    df = spark.read.schema(stored_schema(table)).parquet(path)
-    return df if with_partition else df.drop(PARTITION_COLUMN, DELIVERY_COLUMN)
+    """Scan a RAW table with its fixed schema (no inference): compacted months and complete deliveries after them."""
+    base = _base(spark, path, table)
+    manifest = base.manifest()
+    newest = F.lit(newest_delivery(spark, path)).cast("long")
+    recent = spark.read.schema(stored_schema(table)).parquet(path).where(F.col(DELIVERY_COLUMN) <= newest)
+    if manifest["number"]:
+        recent = recent.where(F.col(DELIVERY_COLUMN) > F.lit(manifest["kept"]["covered"]).cast("long"))
+        recent = base.read(manifest=manifest).unionByName(recent)
+    return recent if with_partition else recent.drop(PARTITION_COLUMN, DELIVERY_COLUMN)
 
 
 def write_raw(df: DataFrame, path: str, delivery_id: int = 0) -> None:
-    """Append rows that already carry ``transaction_date`` (the ingest day) as one delivery.
+    """Append rows that already carry ``transaction_date`` (the ingest day) as one delivery, without noting it.
 
     The ``rebalance`` hint clusters rows by ingest month before the write (one
     shuffle) and lets AQE size the writer tasks: small months are coalesced
@@ -59,22 +90,46 @@ def write_raw(df: DataFrame, path: str, delivery_id: int = 0) -> None:
        .write.mode("append").partitionBy(PARTITION_COLUMN, DELIVERY_COLUMN).parquet(path))
 
 
-def _manifest(path: str) -> str:
-    return path.rstrip("/") + "__deliveries"
+def _drop_deliveries(spark: SparkSession, path: str, gone: Callable[[int], bool]) -> None:
+    """Delete the folders of the deliveries for which ``gone`` holds (a listing per month)."""
+    for month in folders(spark, path):
+        if month.startswith(f"{PARTITION_COLUMN}="):
+            for name in folders(spark, f"{path}/{month}"):
+                if name.startswith(f"{DELIVERY_COLUMN}=") and gone(int(name.split("=", 1)[1])):
+                    delete(spark, f"{path}/{month}/{name}")
 
 
-def newest_delivery(spark: SparkSession, path: str) -> int:
-    """Id of the newest delivery begun (one row per delivery is read); 0 before the first."""
-    if not path_exists(spark, _manifest(path)):
-        return 0
-    return spark.read.schema(_MANIFEST).parquet(_manifest(path)).agg(F.max(DELIVERY_COLUMN)).first()[0] or 0
+def _deliver(spark: SparkSession, df: DataFrame, path: str) -> int:
+    """Write a delivery, then note it. Leftovers of one that died under this number go first."""
+    number = newest_delivery(spark, path) + 1
+    _drop_deliveries(spark, path, lambda n: n >= number)
+    write_raw(df, path, number)
+    if not _notes(spark, path).write(f"{number:012d}", {}):
+        raise DeliveryError(f"{path}: another writer has appended delivery {number}")
+    _notes(spark, path).keep_newest(NOTES_KEPT)
+    return number
 
 
-def _begin_delivery(spark: SparkSession, path: str) -> int:
-    """Note the next delivery before its rows are written: an id is never used twice."""
-    new = newest_delivery(spark, path) + 1
-    spark.range(1).select(F.lit(new).cast("long").alias(DELIVERY_COLUMN)).coalesce(1).write.mode("append").parquet(_manifest(path))
-    return new
+def compact_raw(spark: SparkSession, path: str, table: str, every: int = 1) -> bool:
+    """Merge the complete deliveries since the last compaction into the base, if there are ``every`` of them or more.
+
+    Months without new rows are left as they are. The folders merged here are
+    deleted by the next compaction, so reads that have begun find them.
+    """
+    base = _base(spark, path, table)
+    manifest, newest = base.manifest(), newest_delivery(spark, path)
+    covered = manifest["kept"].get("covered", -1)
+    if newest - max(covered, 0) < every:
+        return False
+    recent = spark.read.schema(stored_schema(table)).parquet(path).where(
+        (F.col(DELIVERY_COLUMN) > F.lit(covered).cast("long")) & (F.col(DELIVERY_COLUMN) <= F.lit(newest).cast("long")))
+    months = values_of(recent, PARTITION_COLUMN)
+    rows = base.read(months, manifest).unionByName(recent)
+    # the group of deliveries stands for the delivery in the order, so that keys have runs as long as a row group
+    base.replace(rows, months, {"covered": newest}, manifest, [F.floor(F.col(DELIVERY_COLUMN) / COMPACT_EVERY), *S.RAW_KEYS[table]])
+    base.vacuum()
+    _drop_deliveries(spark, path, lambda n: n <= covered)
+    return True
 
 
 def months_of(df: DataFrame) -> list:
@@ -83,7 +138,7 @@ def months_of(df: DataFrame) -> list:
 
 
 def in_months(stored: DataFrame, months: Sequence) -> DataFrame:
-    """The stored rows of the given months; literals, so other folders are not even listed for the scan."""
+    """The stored rows of the given months (literals: other folders are not read)."""
     return stored.where(F.col(PARTITION_COLUMN).isin([date_lit(m) for m in months])) if months else stored.limit(0)
 
 
@@ -127,7 +182,8 @@ def append_raw(spark: SparkSession, batch: DataFrame, path: str, table: str,
     counts = new.agg(F.count(F.lit(1)), F.max("ingestion_ts")).first()
     reached = sound.agg(F.max("ingestion_ts")).first()[0]
     if counts[0]:
-        write_raw(new, path, _begin_delivery(spark, path))
+        _deliver(spark, new, path)
+        compact_raw(spark, path, table, COMPACT_EVERY)
     if found[0]:
         rejected.write.mode("overwrite").parquet(os.path.join(quarantine, f"delivery={delivery or format(abs(int(found[1])), 'x')}"))
     return {"path": path, "accepted": counts[0], "rejected": found[0], "accepted_until": reached}

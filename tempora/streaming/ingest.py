@@ -15,14 +15,14 @@ row's stamp proves nothing), which triggers the daily snapshots (``streaming/sna
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tempora import schemas as S
-from tempora.session import path_exists
+from tempora.sinks.notes import Notes
 from tempora.sinks.raw import append_raw
 
 def land(df: DataFrame, landing: str) -> None:
@@ -37,8 +37,17 @@ def read_landing(spark: SparkSession, landing: str, table: str, max_files: int |
     return reader.parquet(landing)
 
 
-def _progress_path(bronze: str) -> str:
-    return bronze.rstrip("/") + "__progress"
+def _progress(spark: SparkSession, bronze: str) -> Notes:
+    return Notes(spark, bronze.rstrip("/") + "__progress")
+
+
+def _note_arrival(spark: SparkSession, bronze: str, until) -> None:
+    """Raise the arrival mark of ``bronze`` (the newest note holds it, the last few are kept)."""
+    notes, before = _progress(spark, bronze), arrived_until(spark, bronze)
+    if before is None or until > before:
+        names = notes.names()
+        notes.write(f"{(int(names[-1]) if names else 0) + 1:012d}", {"until": until.isoformat()})
+        notes.keep_newest(4)
 
 
 def start_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str, table: str,
@@ -53,14 +62,11 @@ def start_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str
     with None such a row stops the stream.
     """
     events = read_landing(spark, landing, table, max_files)
-    progress = _progress_path(bronze)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         done = append_raw(spark, batch, bronze, table, quarantine, delivery=f"batch-{batch_id}")
-        # Arrival high-water mark of the accepted rows (one row), for the snapshot trigger.
-        if done["accepted_until"] is not None:
-            mark = F.lit(str(done["accepted_until"])).cast("timestamp_ntz").alias("max_ingestion_ts")
-            spark.range(1).select(mark, F.lit(batch_id).cast("long").alias("batch_id")).coalesce(1).write.mode("append").parquet(progress)
+        if done["accepted_until"] is not None:  # of the accepted rows, for the snapshot trigger
+            _note_arrival(spark, bronze, done["accepted_until"])
 
     return (events.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
@@ -70,10 +76,8 @@ def start_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str
 
 def arrived_until(spark: SparkSession, bronze: str):
     """Highest ``ingestion_ts`` ingested so far into ``bronze`` (None if nothing)."""
-    path = _progress_path(bronze)
-    if not path_exists(spark, path):
-        return None
-    return spark.read.parquet(path).agg(F.max("max_ingestion_ts")).first()[0]
+    found = _progress(spark, bronze).newest()
+    return dt.datetime.fromisoformat(found[1]["until"]) if found else None
 
 
 def bronze_path(root: str, table: str) -> str:

@@ -19,9 +19,9 @@ from tempora.session import scratch_path
 from tempora.sinks.gold import GoldTable
 from tempora.sinks.raw import read_raw
 from tempora.sources import testdata as TD
-from tempora.streaming.ingest import land, read_landing, start_bronze
+from tempora.streaming.ingest import land, start_bronze
 from tempora.streaming.snapshots import emit_due_snapshots
-from tempora.streaming.state import current_state, emit_due_states, start_latest_state, state_as_of
+from tempora.streaming.state import StateStream
 
 CUTOFFS = (RUN1.cutoff_ts, RUN2.cutoff_ts)
 
@@ -53,29 +53,26 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest purchase state kept by the stream; equals the batch pick over all events."""
+    """Latest purchase state kept by the stream, open days included; equals the batch pick over all events."""
     root = scratch_path(spark, "stream-state")
-    landing, changes = os.path.join(root, "landing"), os.path.join(root, "changes")
-    log = TD.purchase_cdc(spark, sf_dir)
-    drops = _drops(log)
-    drops[1] = drops[1].unionByName(_replay(drops[0]))
+    landing, state = os.path.join(root, "landing"), StateStream(spark, S.PURCHASE, os.path.join(root, "state"))
+    drops = _drops(TD.purchase_cdc(spark, sf_dir))
+    drops[1] = drops[1].unionByName(_replay(drops[0]))  # behind the watermark
     for d in drops:
         land(d, landing)
-        start_latest_state(spark, read_landing(spark, landing, S.PURCHASE), S.PURCHASE, changes,
-                           os.path.join(root, "ckpt")).awaitTermination()
-    return current_state(spark, changes, S.PURCHASE)
+        state.advance(landing)
+    return state.current()
 
 
 def stream_state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase state as of run 1 kept by the stream, read after all drops (run 2's state starts from it)."""
     root = scratch_path(spark, "stream-as-of")
-    landing, bronze, states = (os.path.join(root, x) for x in ("landing", "bronze", "states"))
+    landing, state = os.path.join(root, "landing"), StateStream(spark, S.PURCHASE, os.path.join(root, "state"))
     for d in _drops(TD.purchase_cdc(spark, sf_dir)):
         land(d, landing)
-        start_bronze(spark, landing, bronze, os.path.join(root, "ckpt"), S.PURCHASE,
-                     quarantine=os.path.join(root, "quarantine")).awaitTermination()
-        emit_due_states(spark, bronze, S.PURCHASE, states, [RUN1.as_of_date, RUN2.as_of_date])
-    return state_as_of(spark, states, RUN1.as_of_date).drop("transaction_date")
+        state.advance(landing)
+        state.emit_due([RUN1.as_of_date, RUN2.as_of_date])
+    return state.as_of(RUN1.as_of_date)
 
 
 def stream_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

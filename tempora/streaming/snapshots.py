@@ -14,10 +14,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tempora.functions.rules import RunParams
+from tempora.functions.rules import RunParams, date_lit
 from tempora.plans.jobs import SNAPSHOT_LOGS, snapshot_for
 from tempora.sinks.gold import GoldTable
 from tempora.sinks.raw import newest_delivery, read_raw
@@ -48,30 +48,59 @@ def emit_due_snapshots(spark: SparkSession, bronze_root: str, gold: GoldTable, s
     the stored snapshots that miss them, and the next snapshot has them.
     """
     wm = ingest_watermark(spark, bronze_root, lateness)
-    # One row per stored snapshot date: bounded by the number of runs.
-    done = {r[0] for r in gold.stored().select("as_of_date").distinct().collect()} if gold.exists() else set()
-    runs = due_days(schedule, wm, done)
+    runs = due_days(schedule, wm, set(gold.run_dates()))
     if runs:
         covered = {t: newest_delivery(spark, bronze_path(bronze_root, t)) for t in SNAPSHOT_LOGS}
         logs = {t: read_raw(spark, bronze_path(bronze_root, t), t, with_partition=True).where(F.col("delivery_id") <= covered[t])
                 for t in SNAPSHOT_LOGS}
         for r in sorted(runs, key=lambda x: x.as_of_date):
-            snap = snapshot_for(gold, logs, r)
-            gold.record([r.as_of_date], covered)
-            gold.append(snap, if_stored="skip", dates=[r.as_of_date])
+            snap = snapshot_for(gold, logs, r, bronze_root, covered)
+            gold.append(snap, if_stored="skip", dates=[r.as_of_date], covered=covered)
     return runs
 
 
 def incomplete_runs(spark: SparkSession, bronze_root: str, gold: GoldTable) -> DataFrame:
     """(as_of_date, log, late_events): stored snapshots and the events that entered the store too late for them."""
-    facts = gold.facts().groupBy("as_of_date", "log").agg(F.max("delivery_id").alias("seen"))
-    facts = facts.join(gold.stored().select("as_of_date").distinct(), "as_of_date", "left_semi")
+    seen = {d: made[0] for d in gold.run_dates() if (made := gold.covered_by(d))}  # one note per run
     out = None
     for t in SNAPSHOT_LOGS:
-        # few rows per (day, delivery), so the unequal join below meets sums, not events
-        days = (read_raw(spark, bronze_path(bronze_root, t), t, with_partition=True)
-                .groupBy("transaction_date", "delivery_id").agg(F.count(F.lit(1)).alias("n")))
-        late = facts.where(F.col("log") == t).join(days, (F.col("delivery_id") > F.col("seen")) & (F.col("transaction_date") <= F.col("as_of_date")))
-        part = late.groupBy("as_of_date", "log").agg(F.sum("n").alias("late_events"))
+        part = _late_events(read_raw(spark, bronze_path(bronze_root, t), t, with_partition=True), t, {d: c[t] for d, c in seen.items() if t in c})
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def _late_events(log: DataFrame, table: str, seen: dict[dt.date, int]) -> DataFrame:
+    """Late events per run, by a sweep over the runs in date order.
+
+    Where later runs have seen at least the deliveries of earlier ones, a
+    (day, delivery) total is late for the runs from the first one at or after
+    the day up to the last one that had not seen the delivery: it is added at
+    the first and taken off after the last, and running sums give the counts.
+    Runs out of that order (made up for later) are swept in chains of their own.
+    """
+    spark, parts = log.sparkSession, []
+    chains: list[list[dt.date]] = []
+    for d in sorted(seen):
+        chain = next((c for c in chains if seen[c[-1]] <= seen[d]), None)
+        if chain is None:
+            chains.append([d])
+        else:
+            chain.append(d)
+    # the deliveries some run has not seen, one row per day and delivery
+    totals = (log.where(F.col("delivery_id") > F.lit(min(seen.values(), default=0)).cast("long"))
+              .groupBy("transaction_date", "delivery_id").agg(F.count(F.lit(1)).alias("n")))
+    for chain in chains:
+        runs = spark.createDataFrame([(i, d, seen[d]) for i, d in enumerate(chain)], "run int, as_of_date date, seen long")
+        dates = F.array(*[date_lit(d) for d in chain])
+        marks = F.array(*[F.lit(seen[d]).cast("long") for d in chain])
+        first = F.size(F.filter(dates, lambda d: d < F.col("transaction_date")))
+        after = F.size(F.filter(marks, lambda m: m < F.col("delivery_id")))
+        steps = totals.select(first.alias("first"), after.alias("after"), "n").where("first < after")
+        ends = F.explode(F.array(F.struct(F.col("first").alias("run"), F.col("n").alias("n")), F.struct(F.col("after").alias("run"), (-F.col("n")).alias("n"))))
+        change = steps.select(ends.alias("e")).groupBy(F.col("e.run").alias("run")).agg(F.sum("e.n").alias("change"))
+        swept = runs.join(change, "run", "left").withColumn("late_events", F.sum(F.coalesce("change", F.lit(0))).over(Window.orderBy("run")))
+        parts.append(swept.where("late_events > 0").select("as_of_date", F.lit(table).alias("log"), "late_events"))
+    empty = spark.createDataFrame([], "as_of_date date, log string, late_events long")
+    for part in parts:
+        empty = empty.unionByName(part)
+    return empty
