@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempora import schemas as S
@@ -90,31 +90,89 @@ def gmv_snapshot(logs: Mapping[str, DataFrame], run: RunParams, honor_deletes: b
         "gmv_amount", "purchases_count", "source_max_ingestion_ts", F.lit(run.run_id).alias("run_id"))
 
 
+def _levels(runs: int) -> range:
+    """Powers of two up to the first that holds all runs."""
+    return range(max(runs - 1, 1).bit_length() + 1)
+
+
+def _span(start: Column, level: int, runs: int) -> Column:
+    """Number of the aligned span of 2**level runs at ``start``: the widest is 1, the halves of span n are 2n and 2n + 1."""
+    return F.lit(1 << (_levels(runs)[-1] - level)) + F.shiftright(start, level)
+
+
+def _spans_over(run: Column, runs: int) -> Column:
+    """The aligned spans that hold a run: one per power of two."""
+    return F.array(*[_span(run, level, runs) for level in _levels(runs)])
+
+
+def _spans(first: Column, last: Column, runs: int) -> Column:
+    """The runs ``first`` to ``last`` as few aligned spans, numbered: at most two per power of two.
+
+    A level takes the span to the left of what the next level can take, where
+    that begins later, and the one to its right, where it ends earlier.
+    """
+    end, parts = last + 1, []
+    for level in _levels(runs):
+        up, down = (F.shiftleft(F.shiftright(x, level), level) for x in (first + ((1 << level) - 1), end))
+        up2, down2 = (F.shiftleft(F.shiftright(x, level + 1), level + 1) for x in (first + ((2 << level) - 1), end))
+        fits, wider = up < down, up2 < down2
+        left = fits & F.when(wider, up < up2).otherwise(F.lit(True))
+        right = fits & F.when(wider, down2 < down).otherwise(down - up > (1 << level))
+        parts += [F.when(left, _span(up, level, runs)), F.when(right, _span(down - (1 << level), level, runs))]
+    return F.array_compact(F.array(*parts))
+
+
 def eligible_intervals(logs: Mapping[str, DataFrame], runs: Sequence[RunParams]) -> DataFrame:
     """Eligible purchases by interval of runs: day, subsidiary, gmv_amount, max_ingestion_ts, first_run, last_run.
 
     A purchase is constant between the runs at which one of its versions, its
-    extra info or one of its items changes; those runs cut its time into
-    segments, and each segment is evaluated once.
+    extra info or one of its items changes; each such segment is evaluated
+    once, by a sweep: an item adds its amount at the first run it wins and
+    takes it off after the last, summed per (purchase, run) before the shuffle;
+    running sums, and the last purchase and extra version carried forward, give
+    the segments. The newest arrival is a running maximum over the items that
+    stay. Those that go (replaced, moved or deleted) cover aligned spans of
+    runs, at most two per power of two, and a segment looks up the spans over
+    its run; a purchase has fewer than four spans per run, however many items.
+    So the rows follow the number of changes, also for a purchase with very
+    many items or changes.
     """
     p = latest_intervals(logs[S.PURCHASE], PK, runs, PURCHASE_COLS)
     e = latest_intervals(logs[S.EXTRA], PK, runs, EXTRA_COLS)
     i = latest_intervals(logs[S.ITEM], S.ENTITY_KEYS[S.ITEM], runs, ITEM_COLS)
-    i = i.where(not_deleted()).where(F.col("purchase_id").isNotNull() & F.col("purchase_partition").isNotNull())
-    start, end = F.col("first_run"), F.col("last_run")
-    cuts = p.select(*PK, start.alias("run")).unionByName(e.select(*PK, start.alias("run")))
-    cuts = cuts.unionByName(i.select(*PK, F.explode(F.array(start, end + 1)).alias("run"))).where(F.col("run") < len(runs)).distinct()
-    following = F.lead("run").over(Window.partitionBy(*PK).orderBy("run"))
-    segments = cuts.withColumn("until", F.coalesce(following - 1, F.lit(len(runs) - 1)))
-    inside = F.col("run").between(F.col("first_run"), F.col("last_run"))
-    sums = items_by_purchase(segments.join(i, PK).where(inside), ["run", "until"])
-    counted = p.where(purchase_eligible()).select(*PK, "first_run", "last_run", F.col("order_date").alias("transaction_date"),
-                                                  F.col("ingestion_ts").alias("_p_ing"))
-    counted = sums.join(counted, PK).where(inside).drop("first_run", "last_run")
-    extra = e.select(*PK, "first_run", "last_run", "subsidiary", F.col("ingestion_ts").alias("_e_ing"))
-    j = counted.join(extra, PK).where(inside)
-    return j.select("transaction_date", "subsidiary", F.col("run").alias("first_run"), F.col("until").alias("last_run"),
-                    F.col("amount_total").alias("gmv_amount"), F.greatest("_p_ing", "_e_ing", "max_item_ingestion").alias("max_ingestion_ts"))
+    return segments(p, e, i, len(runs))
+
+
+def segments(p: DataFrame, e: DataFrame, i: DataFrame, runs: int) -> DataFrame:
+    """``eligible_intervals`` from the three logs' winners with the runs they win."""
+    first, last = F.col("first_run"), F.col("last_run")
+    live = i.where(not_deleted()).where(F.col("purchase_id").isNotNull() & F.col("purchase_partition").isNotNull())
+    live = live.select(*PK, item_amount().alias("amount"), "ingestion_ts", "first_run", "last_run")
+    stays, none = last == runs - 1, F.lit(None)
+    step = lambda run, span, sign, seen: F.struct(
+        run.alias("run"), span.alias("span"), (sign * F.col("amount")).alias("amount"), sign.alias("n"), seen.alias("seen"))
+    comes = step(first, none.cast("int"), F.lit(1), F.when(stays, F.col("ingestion_ts")))
+    goes = step(last + 1, none.cast("int"), F.lit(-1), none.cast("timestamp_ntz"))
+    covers = F.transform(_spans(first, last, runs), lambda span: step(none.cast("int"), span, F.lit(0), F.col("ingestion_ts")))
+    steps = live.select(*PK, F.explode(F.when(stays, F.array(comes)).otherwise(F.concat(F.array(comes, goes), covers))).alias("s")).select(*PK, "s.*")
+    items = steps.groupBy(*PK, "run", "span").agg(F.sum("amount").alias("amount"), F.sum("n").alias("n"), F.max("seen").alias("seen"))
+    facts = items.unionByName(p.select(*PK, first.alias("run"), purchase_eligible().alias("counts"), "order_date", F.col("ingestion_ts").alias("p_at")),
+                              allowMissingColumns=True)
+    facts = facts.unionByName(e.select(*PK, first.alias("run"), "subsidiary", F.col("ingestion_ts").alias("e_at")), allowMissingColumns=True)
+    whole = Window.partitionBy(*PK)
+    by = whole.orderBy("run")  # spans, which have no run, come first
+    upto = by.rangeBetween(Window.unboundedPreceding, Window.currentRow)  # all changes of the same run
+    held = {c: F.last(c, True).over(upto) for c in ("counts", "p_at", "e_at")}
+    # these two may be NULL in a version, so they are carried with the arrival that brought them
+    held |= {c: F.last(F.when(F.col(at).isNotNull(), F.struct(c)), True).over(upto)[c] for c, at in (("order_date", "p_at"), ("subsidiary", "e_at"))}
+    held |= {"amount": F.sum("amount").over(upto), "n": F.sum("n").over(upto), "seen": F.max(F.when(F.col("span").isNull(), F.col("seen"))).over(upto)}
+    held |= {"_next": F.lead("run").over(by), "gone": F.collect_list(F.when(F.col("span").isNotNull(), F.struct("span", "seen"))).over(whole)}
+    segs = facts.select(*PK, "run", *[c.alias(k) for k, c in held.items()]).where("run IS NOT NULL AND (_next IS NULL OR _next > run)")
+    over = F.filter("gone", lambda g: F.array_contains(_spans_over(F.col("run"), runs), g["span"]))
+    return segs.where("counts AND e_at IS NOT NULL AND n > 0").select(
+        F.col("order_date").alias("transaction_date"), "subsidiary", F.col("run").alias("first_run"),
+        F.coalesce(F.col("_next") - 1, F.lit(runs - 1)).alias("last_run"), F.col("amount").alias("gmv_amount"),
+        F.greatest("p_at", "e_at", "seen", F.array_max(F.transform(over, lambda g: g["seen"]))).alias("max_ingestion_ts"))
 
 
 def multi_snapshot(logs: Mapping[str, DataFrame], runs: Sequence[RunParams]) -> DataFrame:

@@ -158,15 +158,10 @@ def gmv_snapshot(spark, sf_dir, run: RunParams = RUN1):
 
 
 def snapshot_cross_params(spark, sf_dir):
-    """Run values crossed in from a one-row relation, totals grouped by ordinals (SQL)."""
-    totals = spark.sql("""
-      SELECT run.run_id, run.as_of_date, day_sales.subsidiary, day_sales.transaction_date,
-             count(1) AS purchases_count, sum(day_sales.gmv_amount) AS gmv_amount,
-             max(day_sales.max_ingestion_ts) AS source_max_ingestion_ts
-      FROM {run} AS run CROSS JOIN {sales} AS day_sales
-      GROUP BY 4, 3, 2, 1
-    """, run=F.broadcast(params_relation(spark, sf_dir, RUN2)), sales=gmv.eligible_at(_logs(spark, sf_dir), RUN2.cutoff_ts))
-    return totals.select([F.col(f.name).cast(f.dataType) for f in S.GOLD_SCHEMA])
+    """Run values joined on from a one-row relation: totals first, then the cross with the broadcast row (never with purchases)."""
+    totals = gmv.aggregate_snapshot(gmv.eligible_at(_logs(spark, sf_dir), RUN2.cutoff_ts))
+    run = params_relation(spark, sf_dir, RUN2).drop("cutoff_ts")
+    return totals.crossJoin(F.broadcast(run)).select(*S.GOLD_COLUMNS)
 
 
 def params_relation(spark, sf_dir, run: RunParams | None = None):
@@ -269,6 +264,12 @@ def month_as_seen_vs_now(spark, sf_dir):
     return compare.month_as_seen_vs_now(g.as_seen_on(AS_SEEN_ON), g.current())
 
 
+def gmv_by_year_ordinals(spark, sf_dir):
+    """Grouping and ordering by position, in SQL over the stored history."""
+    return spark.sql("SELECT subsidiary, year(transaction_date) AS sales_year, sum(gmv_amount) AS gmv FROM {gold} GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2",
+                     gold=_gold_with_runs(spark, sf_dir).current()).withColumn("gmv", F.col("gmv").cast(S.MONEY))
+
+
 def metric_by_month(spark, sf_dir):
     grain = margin.margin_grain(_logs(spark, sf_dir), RUN2.cutoff_ts)
     return rollup(grain, [F.trunc("transaction_date", "month").alias("transaction_month"), "subsidiary"],
@@ -315,4 +316,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_diff": snapshot_diff,
     "month_as_seen_vs_now": month_as_seen_vs_now,
     "metric_by_month": metric_by_month,
+    "gmv_by_year_ordinals": gmv_by_year_ordinals,
 }
