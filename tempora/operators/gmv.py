@@ -69,6 +69,17 @@ def silver(logs: Mapping[str, DataFrame], cutoff) -> dict[str, DataFrame]:
     }
 
 
+def snapshot_from_states(purchase: DataFrame, extra: DataFrame, item: DataFrame, run: RunParams, honor_deletes: bool = False) -> DataFrame:
+    """The GOLD snapshot of ``run`` from the latest states at its day, however they were found."""
+    return _gold(aggregate_snapshot(eligible_purchases(purchase, extra, items_by_purchase(item), honor_deletes)), run)
+
+
+def _gold(totals: DataFrame, run: RunParams) -> DataFrame:
+    return totals.select(
+        "transaction_date", "subsidiary", date_lit(run.as_of_date).alias("as_of_date"),
+        "gmv_amount", "purchases_count", "source_max_ingestion_ts", F.lit(run.run_id).alias("run_id"))
+
+
 def eligible_at(logs: Mapping[str, DataFrame], cutoff, honor_deletes: bool = False) -> DataFrame:
     s = silver(logs, cutoff)
     return eligible_purchases(s["purchase"], s["extra"], items_by_purchase(s["item"]), honor_deletes=honor_deletes)
@@ -84,10 +95,7 @@ def aggregate_snapshot(eligible: DataFrame) -> DataFrame:
 
 def gmv_snapshot(logs: Mapping[str, DataFrame], run: RunParams, honor_deletes: bool = False) -> DataFrame:
     """One full GOLD snapshot for ``run``, in the GOLD column order."""
-    agg = aggregate_snapshot(eligible_at(logs, run.cutoff_ts, honor_deletes))
-    return agg.select(
-        "transaction_date", "subsidiary", date_lit(run.as_of_date).alias("as_of_date"),
-        "gmv_amount", "purchases_count", "source_max_ingestion_ts", F.lit(run.run_id).alias("run_id"))
+    return _gold(aggregate_snapshot(eligible_at(logs, run.cutoff_ts, honor_deletes)), run)
 
 
 def _levels(runs: int) -> range:

@@ -23,7 +23,7 @@ from tempora.functions.rules import RunParams
 from tempora.operators import gmv, incremental, margin
 from tempora.sinks.gold import GoldTable
 from tempora.sinks.raw import append_raw, newest_delivery, raw_path, read_raw
-from tempora.sinks.silver import SilverStore
+from tempora.sinks.silver import MERGE_EVERY, SilverStore
 
 LOGS = (S.PURCHASE, S.EXTRA, S.ITEM, S.COST)
 SNAPSHOT_LOGS = LOGS[:3]
@@ -78,8 +78,8 @@ def snapshot_for(gold: GoldTable, logs: dict[str, DataFrame], run: RunParams, ra
     """The snapshot of ``run``, from the newest earlier one where ``mode`` and what is known of that run allow it.
 
     ``logs`` hold the deliveries up to ``covered`` of the RAW store at
-    ``raw_root``. An incremental run first merges those that the silver store
-    does not have yet; where that store is ahead of ``covered`` already (an
+    ``raw_root``. An incremental run lays those that the silver store has not
+    merged over it (or merges them, once there are many); where that store is ahead of ``covered`` already (an
     older run is made up for), it reads the logs alone.
     """
     prev_date = None
@@ -93,8 +93,10 @@ def snapshot_for(gold: GoldTable, logs: dict[str, DataFrame], run: RunParams, ra
         return gmv.gmv_snapshot(logs, run, honor_deletes=honor_deletes)
     prev = RunParams.for_day(prev_date)
     silver = silver_store(gold.spark, raw_root)
-    if silver.refresh(raw_root, covered) != covered:
+    merged = silver.refresh(raw_root, covered, MERGE_EVERY)
+    if any(merged[t] > covered[t] for t in merged):
         return incremental.incremental_snapshot(logs, gold.as_of(prev.as_of_date), prev, run, made[0])
+    silver = silver.with_recent(raw_root, covered)
     return incremental.incremental_from(silver, arrivals(logs, prev, run, made[0]), gold.as_of(prev.as_of_date), run)
 
 

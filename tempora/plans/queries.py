@@ -9,6 +9,7 @@ run 1 as of 1998-06-30, run 2 as of 1998-07-31, and 2001-12-31 (all data).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,8 @@ from tempora.operators import compare, gmv, incremental, latest, margin, quality
 from tempora.plans import jobs
 from tempora.session import scratch_path
 from tempora.sinks.gold import GoldTable
-from tempora.sinks.raw import append_raw, read_raw, write_raw
+from tempora.sinks.raw import append_raw, raw_path, read_raw, write_raw
+from tempora.sinks.silver import known_on
 from tempora.sources import testdata as TD
 
 # The runs of the test plan.
@@ -243,6 +245,35 @@ def contribution_margin(spark, sf_dir):
     return margin.contribution_margin(_logs(spark, sf_dir), RUN1.cutoff_ts)
 
 
+def _stored_logs(spark, sf_dir) -> str:
+    """The three logs of a snapshot as a RAW store in two deliveries: what run 1 knew, and the rest."""
+    root = scratch_path(spark, "raw")
+    for t in jobs.SNAPSHOT_LOGS:
+        log = TD.DERIVERS[t](spark, sf_dir)
+        for part in (log.where(known_before(RUN1.cutoff_ts)), log.where(~known_before(RUN1.cutoff_ts))):
+            append_raw(spark, part, raw_path(root, t), t)
+    return root
+
+
+def snapshot_from_silver(spark, sf_dir):
+    """Run 2 from bucketed silver: states by a filter, joins and item sums without an exchange on the purchase key."""
+    root = _stored_logs(spark, sf_dir)
+    silver = jobs.silver_store(spark, root)
+    silver.refresh(root)
+    names = silver.publish_bucketed(f"silver_{uuid.uuid4().hex[:8]}", 8)
+    return gmv.snapshot_from_states(*[known_on(spark.table(names[t]), RUN2.as_of_date) for t in (S.PURCHASE, S.EXTRA, S.ITEM)], RUN2)
+
+
+def incremental_from_silver(spark, sf_dir):
+    """Run 2 from run 1's snapshot and silver as of run 1, with the later delivery laid over it."""
+    root = _stored_logs(spark, sf_dir)
+    silver, logs = jobs.silver_store(spark, root), jobs.raw_logs(spark, root, jobs.SNAPSHOT_LOGS)
+    silver.refresh(root, dict.fromkeys(jobs.SNAPSHOT_LOGS, 1))
+    previous = gmv.gmv_snapshot(logs, RUN1).checkpoint()
+    fresh = jobs.arrivals(logs, RUN1, RUN2, dict.fromkeys(jobs.SNAPSHOT_LOGS, 1))
+    return incremental.incremental_from(silver.with_recent(root, dict.fromkeys(jobs.SNAPSHOT_LOGS, 2)), fresh, previous, RUN2)
+
+
 # -- second tier -------------------------------------------------------------------
 
 def impacted_dates(spark, sf_dir):
@@ -310,9 +341,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gmv_current_full": gmv_current_full,
     "gmv_month_pruned": gmv_month_pruned,
     "multi_snapshot": multi_snapshot,
+    "snapshot_from_silver": snapshot_from_silver,
     "contribution_margin": contribution_margin,
     "impacted_dates": impacted_dates,
     "incremental_snapshot": incremental_snapshot,
+    "incremental_from_silver": incremental_from_silver,
     "snapshot_diff": snapshot_diff,
     "month_as_seen_vs_now": month_as_seen_vs_now,
     "metric_by_month": metric_by_month,

@@ -28,6 +28,8 @@ _SQL_DEFAULTS = {
 _LOCAL_STATIC = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # a local disk lists folders faster than a job does
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1024",
 }
 
 

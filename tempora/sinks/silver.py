@@ -11,6 +11,10 @@ Each log is a table of whole partitions by the partition column of its key
 the new deliveries touch. Its manifest keeps what the incremental run needs to
 find them again without a scan: per purchase partition the range of order days,
 and per purchase partition the item partitions whose items ever pointed to it.
+
+A merge rewrites the partitions it touches, so it waits for ``MERGE_EVERY``
+deliveries; until then ``with_recent`` lays the deliveries since over the store:
+their events join the stored winners in one pick over the partitions asked for.
 """
 
 from __future__ import annotations
@@ -24,12 +28,13 @@ from pyspark.sql import types as T
 
 from tempora import schemas as S
 from tempora.functions.rules import date_lit
-from tempora.operators.latest import ORDER, _pick
+from tempora.operators.latest import ORDER, _pick, latest_as_of
 from tempora.sinks.raw import newest_delivery, raw_path, read_raw
 from tempora.sinks.versioned import VersionedTable, values_of
 
 FROM, UNTIL = "known_from", "known_until"
 SILVER_LOGS = (S.PURCHASE, S.EXTRA, S.ITEM)
+MERGE_EVERY = 16  # deliveries
 
 
 def silver_schema(table: str) -> T.StructType:
@@ -68,25 +73,40 @@ class SilverStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.tables = {t: VersionedTable(spark, f"{self.root}/{t}", silver_schema(t), _part(t)) for t in SILVER_LOGS}
+        self.recent: dict[str, DataFrame] = {}
+        self._kept: dict[str, dict] = {}
 
     def covered(self, table: str) -> int:
         """Newest delivery merged; -1 before the first."""
         return self.tables[table].manifest()["kept"].get("covered", -1)
 
-    def refresh(self, raw_root: str, until: Mapping[str, int] | None = None) -> dict[str, int]:
-        """Merge the complete deliveries not merged yet (up to ``until`` per log); what is covered now."""
+    def _since(self, raw_root: str, table: str, done: int, until: int) -> DataFrame:
+        fresh = read_raw(self.spark, raw_path(raw_root, table), table, with_partition=True)
+        return fresh.where((F.col("delivery_id") > F.lit(done).cast("long")) & (F.col("delivery_id") <= F.lit(until).cast("long")))
+
+    def refresh(self, raw_root: str, until: Mapping[str, int] | None = None, every: int = 1) -> dict[str, int]:
+        """Merge the complete deliveries not merged yet (up to ``until`` per log) where there are ``every`` or more, or none
+        is merged; what is covered now."""
         out = {}
         for table in SILVER_LOGS:
-            path = raw_path(raw_root, table)
-            newest = until[table] if until else newest_delivery(self.spark, path)
+            newest = until[table] if until else newest_delivery(self.spark, raw_path(raw_root, table))
             done = self.covered(table)
-            if newest > done:
-                fresh = read_raw(self.spark, path, table, with_partition=True)
-                fresh = fresh.where((F.col("delivery_id") > F.lit(done).cast("long")) & (F.col("delivery_id") <= F.lit(newest).cast("long")))
-                self.merge(table, fresh, newest)
-            out[table] = max(newest, done)
+            if done < 0 or newest - done >= every:
+                self.merge(table, self._since(raw_root, table, done, newest), newest)
+                done = max(newest, done)
+            out[table] = done
         return out
 
+    def with_recent(self, raw_root: str, until: Mapping[str, int]) -> SilverStore:
+        """The store with the deliveries that it has not merged, up to ``until``, laid over it (few: they are kept checkpointed)."""
+        view = SilverStore(self.spark, self.root)
+        for table in SILVER_LOGS:
+            done = self.covered(table)
+            if until[table] > done:
+                cols = [f.name for f in S.raw_schema(table)]
+                view.recent[table] = self._since(raw_root, table, done, until[table]).select(*cols).checkpoint()
+        return view
+
     def merge(self, table: str, fresh: DataFrame, covered: int) -> None:
         """Merge raw events; partitions without any keep their version. Merging events again changes nothing."""
         store, part = self.tables[table], _part(table)
@@ -117,22 +137,55 @@ class SilverStore:
             return {"links": {k: sorted(v) for k, v in links.items()}}
         return {}
 
+    # -- tables for joins ------------------------------------------------------------
+    def publish_bucketed(self, prefix: str, buckets: int) -> dict[str, str]:
+        """The merged versions as catalog tables bucketed and sorted by purchase key; their names by log.
+
+        Items are bucketed by the purchase they point to, so latest states of
+        the three logs join, and items add up, without an exchange on that key.
+        ``buckets`` should leave a bucket's newest states within a task's memory.
+        """
+        names = {}
+        for table in SILVER_LOGS:
+            names[table] = f"{prefix}_{table}"
+            (self.tables[table].read().repartition(buckets, *S.PURCHASE_KEY).write.bucketBy(buckets, *S.PURCHASE_KEY).sortBy(*S.PURCHASE_KEY)
+                 .option("path", f"{self.root}/bucketed/{prefix}/{table}").mode("overwrite").saveAsTable(names[table]))
+        return names
+
     # -- reads ---------------------------------------------------------------------
     def versions(self, table: str, parts: Iterable | None = None) -> DataFrame:
-        return self.tables[table].read(parts)
+        """Raw columns of all versions that ever won, and of all recent events."""
+        cols = [f.name for f in S.raw_schema(table)]
+        rows = self.tables[table].read(parts).select(*cols)
+        return rows.unionByName(self._recent_in(table, parts)) if table in self.recent else rows
+
+    def _recent_in(self, table: str, parts: Iterable | None) -> DataFrame:
+        rows = self.recent[table]
+        return rows if parts is None else rows.where(F.col(_part(table)).isin([int(p) for p in parts]))
 
     def state(self, table: str, day, parts: Iterable | None = None) -> DataFrame:
-        """The latest state at the end of ``day``: a scan and a filter."""
-        return known_on(self.versions(table, parts), day)
+        """The latest state at the end of ``day``: a scan and a filter (and a pick, where recent events lie over the store)."""
+        cols = [f.name for f in S.raw_schema(table)]
+        stored = known_on(self.tables[table].read(parts), day).select(*cols)
+        if table not in self.recent:
+            return stored
+        seen = self._recent_in(table, parts).where(F.to_date("ingestion_ts") <= date_lit(day))
+        return latest_as_of(stored.unionByName(seen), S.ENTITY_KEYS[table])
+
+    def _remembered(self, table: str) -> dict:
+        if table not in self._kept:
+            kept = self.tables[table].manifest()["kept"]
+            self._kept[table] = kept | self._index(table, self.recent[table], kept) if table in self.recent else kept
+        return self._kept[table] if self.recent else self.tables[table].manifest()["kept"]
 
     def parts_with(self, days: Iterable[dt.date | None]) -> list[str]:
         """Purchase partitions that may hold a version with one of the order days (None: a NULL day)."""
         days = list(days)
         isos, null = [d.isoformat() for d in days if d is not None], None in days
-        ranges = self.tables[S.PURCHASE].manifest()["kept"].get("days", {})
+        ranges = self._remembered(S.PURCHASE).get("days", {})
         return [p for p, (lo, hi, has_null) in ranges.items() if (null and has_null) or (lo is not None and any(lo <= d <= hi for d in isos))]
 
     def item_parts(self, purchase_parts: Iterable) -> list:
         """Item partitions of which an item ever pointed into the given purchase partitions."""
-        links = self.tables[S.ITEM].manifest()["kept"].get("links", {})
+        links = self._remembered(S.ITEM).get("links", {})
         return sorted({i for p in purchase_parts for i in links.get(str(p), [])})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tempora import schemas as S
 from tempora.functions.rules import RunParams
-from tempora.operators import incremental
+from tempora.operators import gmv, incremental
 from tempora.operators.gmv import gmv_snapshot
 from tempora.operators.latest import latest_as_of
 from tempora.plans import jobs
@@ -18,7 +18,7 @@ from tempora.session import scratch_path
 from tempora.sinks import raw
 from tempora.sinks.gold import GoldTable, SnapshotError
 from tempora.sinks.notes import Notes, folders
-from tempora.sinks.silver import SilverStore, silver_schema
+from tempora.sinks.silver import SilverStore, known_on, silver_schema
 from tempora.sinks.versioned import StaleWrite, VersionedTable
 from tempora.sources import testdata as TD
 
@@ -207,6 +207,20 @@ def test_silver_states_equal_the_pick(spark, stores, day):
         assert "Window" not in formatted(got) and "Exchange" not in formatted(got)
 
 
+def test_bucketed_silver_joins_without_an_exchange(spark, stores, small_logs):
+    root, silver = stores
+    names = silver.publish_bucketed("silver_test", 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = gmv.snapshot_from_states(*[known_on(spark.table(names[t]), R2.as_of_date) for t in jobs.SNAPSHOT_LOGS[:2] + (S.ITEM,)], R2)
+        assert rows(got) == rows(gmv_snapshot(small_logs, R2))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert "Exchange hashpartitioning(transaction_date" in final and "Exchange hashpartitioning(purchase_id" not in plan and "Window" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
 def test_merging_again_changes_nothing(spark, stores):
     root, silver = stores
     before = rows(silver.versions(S.PURCHASE))
@@ -219,11 +233,17 @@ def test_merging_again_changes_nothing(spark, stores):
 def test_incremental_from_silver_equals_the_full_run(spark, stores, small_logs):
     root, silver = stores
     logs = jobs.raw_logs(spark, root, jobs.SNAPSHOT_LOGS)
-    for prev, new, covered in ((R1, R2, 1), (R1, R2, 2), (RunParams.for_day("1998-07-30"), R2, 4), (R2, RunParams.for_day("1999-12-31"), 3)):
+    for prev, new, covered in ((R1, R2, 1), (RunParams.for_day("1998-07-30"), R2, 4), (R2, RunParams.for_day("1999-12-31"), 3)):
         seen = {t: df.where(F.col("delivery_id") <= covered) for t, df in logs.items()}
         fresh = jobs.arrivals(logs, prev, new, {t: covered for t in logs})
         got = incremental.incremental_from(silver, fresh, gmv_snapshot(seen, prev), new)
         assert rows(got) == rows(gmv_snapshot(small_logs, new)), (prev, new, covered)
+        # the same with the later deliveries not merged yet
+        behind = SilverStore(spark, scratch_path(spark, "silver-behind"))
+        behind.refresh(root, dict.fromkeys(logs, covered))
+        assert behind.refresh(root, dict.fromkeys(logs, 4), every=9) == dict.fromkeys(logs, covered)
+        ahead = behind.with_recent(root, dict.fromkeys(logs, 4))
+        assert rows(incremental.incremental_from(ahead, fresh, gmv_snapshot(seen, prev), new)) == rows(gmv_snapshot(small_logs, new))
         if covered == 4:
             want = incremental.impacted_dates(small_logs, prev, new)
             assert rows(incremental.impacted_dates_from(silver, fresh, prev, new)) == rows(want)
