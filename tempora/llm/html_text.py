@@ -75,6 +75,8 @@ def lines(page: str) -> list[tuple[str, bool, bool, bool, int]]:
     out: list[tuple[str, int, bool, bool, int]] = []  # with the innermost element that may be boilerplate
     stack: list[tuple[str, int, bool]] = []  # tag, such an element or 0, article: as they hold inside
     sure, outer, whole = [0], [0], {0}  # of such elements, from 1: 2 if the tag says so, the one around, those that hold an article
+    tags: dict[str, int] = {}  # how many of a tag are open
+    blocks: list[int] = []  # where in the stack the block elements are
     text: list[str] = []
     linked = 0
     at, n = 0, len(page)
@@ -85,20 +87,27 @@ def lines(page: str) -> list[tuple[str, bool, bool, bool, int]]:
             line = " ".join(entities.unescape("".join(text)).split())
             if line:
                 _, bad, art = stack[-1] if stack else ("", 0, False)
-                out.append((line, bad, art, any(s[0] == "h1" for s in stack[-3:]), linked))
+                out.append((line, bad, art, tags.get("h1", 0) > 0, linked))
             text.clear()
         linked = 0
 
+    def cut(k: int):
+        for s in stack[k:]:
+            tags[s[0]] -= 1
+        del stack[k:]
+        while blocks and blocks[-1] >= k:
+            blocks.pop()
+
     def close(k: int):
         end_line()
-        del stack[k:]
+        cut(k)
 
     while at < n:
         m = TAG.search(page, at)
         got = page[at:m.start()] if m else page[at:]
         if got:
             text.append(got)
-            if any(s[0] == "a" for s in stack[-4:]):
+            if tags.get("a", 0):
                 linked += len(got)
         if not m:
             break
@@ -109,29 +118,24 @@ def lines(page: str) -> list[tuple[str, bool, bool, bool, int]]:
         if tag == "br":
             text.append(" ")
         elif m[1]:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if k is not None:
-                if tag in BLOCKS or any(s[0] in BLOCKS for s in stack[k:]) or stack[k][1] != (k > 0 and stack[k - 1][1]):
+            if tags.get(tag, 0):
+                k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag)
+                if tag in BLOCKS or blocks and blocks[-1] >= k or stack[k][1] != (k > 0 and stack[k - 1][1]):
                     close(k)
                 else:
-                    del stack[k:]
+                    cut(k)
             elif tag in BLOCKS:
                 end_line()
         else:
-            if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):  # these end an open one of their kind
-                for k in range(len(stack) - 1, -1, -1):
+            if tag in ("li", "dt", "dd", "tr", "td", "th"):  # these end an open one of their kind, and a paragraph on the way
+                for k in reversed(blocks):
                     if stack[k][0] == tag or tag in ("td", "th") and stack[k][0] in ("td", "th"):
                         close(k)
                         break
-                    if stack[k][0] in BLOCKS and stack[k][0] != "p":
-                        break
-            elif tag in BLOCKS and stack:  # a block ends an open paragraph
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "p":
-                        close(k)
-                        break
-                    if stack[k][0] in BLOCKS:
+                    if stack[k][0] != "p":
                         break
+            elif tag in BLOCKS and blocks and stack[blocks[-1]][0] == "p":  # a block ends an open paragraph
+                close(blocks[-1])
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = end.end() if end else n if tag in ("script", "style", "template", "xmp", "textarea", "title") else at
@@ -151,6 +155,9 @@ def lines(page: str) -> list[tuple[str, bool, bool, bool, int]]:
                     outer.append(bad)
                     bad = len(sure) - 1
                 stack.append((tag, bad, art or tag in ARTICLE))
+                tags[tag] = tags.get(tag, 0) + 1
+                if tag in BLOCKS:
+                    blocks.append(len(stack) - 1)
     end_line()
     own = [[0, 0] for _ in sure]  # lines and their characters
     for line, k, _, _, linked in out:

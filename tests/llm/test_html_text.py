@@ -3,7 +3,7 @@ from __future__ import annotations
 import html
 import re
 
-from tempora.llm.html_text import extract_text, main_text
+from tempora.llm.html_text import extract_text, lines, main_text
 
 
 def test_article_of_test_pages(spark):
@@ -77,3 +77,21 @@ def test_names_around_the_article_do_not_drop_it():
     for part in ("<div hidden>{}</div>", "<div hidden=''>{}</div>", "<div class='cookie-notice'>{}</div>", "<div id=ad-1>{}</div>",
                  "<section id='comments'><article class=x>{}</article></section>", "<form>{}</form>"):
         assert main_text(f"<main>{body}{part.format('<p>Some other text that is long enough to count.</p>')}</main>") == want, part
+
+
+def test_deep_and_unmatched_tags_take_linear_time():
+    import time
+
+    n = 60_000  # about a megabyte each
+    body = "<article><p>" + "some words of an article that goes on " * 20 + "</p></article>"
+    for page in ("<i>" * n + "</b>" * n + body, "<i>" * n + "<div></div>" * n + body, "<i>" * n + "</i>" * n + body, "<li><p>" * n + body, "<div>" * n + "<td>" * n + body):
+        start = time.process_time()
+        assert main_text(page).startswith("some words of an article")
+        assert time.process_time() - start < 4
+
+
+def test_links_and_headings_count_at_any_depth():
+    nested = "<article><h1><b><i><u><em>A heading deep down</em></u></i></b></h1>" + "<p>" + "words of the text " * 30 + "</p></article>"
+    assert main_text(nested).startswith("A heading deep down words")
+    assert [x[3] for x in lines(nested)] == [True, False]
+    assert lines("<div><a href='x'><b><i><u><em>all of it a link</em></u></i></b></a></div>")[0][4] == len("all of it a link")
