@@ -115,9 +115,12 @@ parts AS ({' UNION ALL '.join(_kind(k, *x) for k, x in enumerate(BASE + WEAK))})
 outside AS (
   SELECT * FROM (SELECT *, coalesce(max(CASE WHEN k < 3 THEN stop END) OVER (
       PARTITION BY rid ORDER BY start RANGE UNBOUNDED PRECEDING), 0) AS reached FROM parts) WHERE k < 3 OR reached < stop),
-linked AS (
-  SELECT *, max(k IN (1, 3)) OVER near AS ids, max(k IN (0, 2, 4)) OVER near AS keys FROM outside
-  WINDOW near AS (PARTITION BY rid ORDER BY start RANGE BETWEEN 200 PRECEDING AND 200 FOLLOWING)),
+gaps AS (
+  SELECT *, start - max(CASE WHEN k IN (1, 3) THEN stop END) OVER upto AS id_before, min(CASE WHEN k IN (1, 3) THEN start END) OVER onward - stop AS id_after,
+         start - max(CASE WHEN k IN (0, 2, 4) THEN stop END) OVER upto AS key_before, min(CASE WHEN k IN (0, 2, 4) THEN start END) OVER onward - stop AS key_after
+  FROM outside WINDOW upto AS (PARTITION BY rid ORDER BY start RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                      onward AS (PARTITION BY rid ORDER BY start RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+linked AS (SELECT *, coalesce(least(id_before, id_after) <= 200, false) AS ids, coalesce(least(key_before, key_after) <= 200, false) AS keys FROM gaps),
 spans AS (SELECT * FROM linked WHERE k < 3 OR (k = 4 AND ids) OR (k = 3 AND keys) OR (k = 5 AND ids AND keys)),
 found AS (
   SELECT rid, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,

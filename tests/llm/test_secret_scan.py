@@ -3,8 +3,11 @@ from __future__ import annotations
 import hashlib
 import re
 
+import duckdb
 from helpers import docs
+from oracle_check import compare
 
+from tempora.llm.oracle import ORACLE
 from tempora.llm.secret_scan import redact, scan_secrets
 
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -61,9 +64,24 @@ def test_redact_masks_and_keeps_every_row(spark):
     assert redact(df.limit(0)).count() == 0 and scan_secrets(df.limit(0)).count() == 0
 
 
+LONG = KEY * 10  # 320 characters
+SCOPED = [f"{LONG} user=bob", f"user=bob {LONG}", f"secret={'a' * 300} user=bob", f"{LONG} {'- ' * 101}user=bob", f"user=bob {'- ' * 101}{LONG}",
+          f"{LONG} x secret=abcdef {'- ' * 60}user=bob"]
+
+
+def test_sql_links_by_the_same_gaps(spark):
+    df = docs(spark, TEXTS + SCOPED)
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    got = scan_secrets(df).toPandas()
+    assert got.n_linked.sum() > 10
+    ok, why = compare(got, con.execute(ORACLE["op7_secret_scan"]).fetchdf())
+    assert ok, why
+
+
 def test_scope_is_the_gap_between_parts(spark):
-    long = KEY * 10  # 320 characters
-    texts = [f"{long} user=bob", f"user=bob {long}", f"secret={'a' * 300} user=bob", f"{long} {'- ' * 101}user=bob", f"user=bob {'- ' * 101}{long}",
+    texts, long = SCOPED, LONG
+    assert texts == [f"{long} user=bob", f"user=bob {long}", f"secret={'a' * 300} user=bob", f"{long} {'- ' * 101}user=bob", f"user=bob {'- ' * 101}{long}",
              f"{long} x secret=abcdef {'- ' * 60}user=bob"]
     got = {r.doc_id: [x.split(":")[0] for x in r.spans.split(",") if x] for r in scan_secrets(docs(spark, texts)).collect()}
     assert got[0] == ["weak_key", "weak_id"] and got[1] == ["weak_id", "weak_key"] and got[2][-1] == "weak_id"
