@@ -235,13 +235,15 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = 0.9, shard: int = S
     cosine ``cosine`` or more, in double precision; only vectors of one length
     are compared. A vector that is null, empty, zero or holds null or
     non-finite components, and a row without an id, links with nothing and is
-    its own class. Repeated rows link with each other. The class id is the
+    its own class. Repeated rows link with each other; an id with
+    several vectors has a row for each, and they are linked only as their vectors are. The class id is the
     smallest vec_id that links reach; ``kept`` marks it. ``recall`` is null
     where nothing was measured. An empty table gives no rows.
     """
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding")
     sound = pin(usable(rows))
-    reps = pin(sound.groupBy("dim", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
+    reps = sound.groupBy("dim", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+    reps = pin(reps.withColumn("rep", F.monotonically_increasing_id()))  # a key per distinct vector: one id may have several
     sizes = pin(reps.groupBy(F.col("dim").alias("d")).count())
     parts = None
     if not (small := sizes.where(F.col("count") <= CLUSTER)).isEmpty():
@@ -258,9 +260,10 @@ def embedding_near_dedup(vectors: DataFrame, cosine: float = 0.9, shard: int = S
         return rows.select("vec_id", *alone)
     counted, edges = parts
     classes = connected_components(edges)
-    known = reps.join(counted, "rep").join(classes, F.col("rep") == F.col("node"), "left").select(
-        F.col("dim").alias("d"), F.col("v").alias("w"), (F.col("links") + F.col("n") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"), "recall")
+    placed = pin(reps.join(counted, "rep").join(classes, F.col("rep") == F.col("node"), "left").withColumn("class", F.coalesce("component", "rep")))
+    smallest = placed.groupBy("class").agg(F.min("least").alias("component_id"))
+    known = placed.join(smallest, "class").select(
+        F.col("dim").alias("d"), F.col("v").alias("w"), (F.col("links") + F.col("n") - 1).alias("n_links"), "component_id", "recall")
     linked = sound.join(known, (F.col("dim") == F.col("d")) & (F.col("v") == F.col("w"))).withColumn(
         "kept", F.col("vec_id") == F.col("component_id")).select(*names)
     return linked.unionByName(rows.where(~is_usable()).select("vec_id", *alone))
