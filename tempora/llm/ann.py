@@ -48,16 +48,32 @@ def _pack(**arrays) -> bytes:
     return out.getvalue()
 
 
+def _once(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each id once, ascending, with the smallest of its vectors (entry by entry), whatever order the rows came in."""
+    kept, first = np.unique(ids, return_index=True)
+    if len(kept) < len(ids):
+        by = np.lexsort((*x.T[::-1], ids))
+        first = by[np.unique(ids[by], return_index=True)[1]]
+    return kept, x[first]
+
+
+def _unit(*arrays: np.ndarray) -> float:
+    """1, or for values whose squares leave the range of a double the power of two to divide by (exactly) first."""
+    top = max((np.abs(a).max(initial=0.0) for a in arrays), default=0.0)
+    exponent = int(np.frexp(top)[1])
+    return 2.0**exponent if abs(exponent) > 400 and top else 1.0
+
+
 def build_shards(rows: DataFrame, shards: int) -> DataFrame:
     """(dim, shard, graph): a packed graph per shard of (vec_id, v, dim)."""
 
     def run(key, table):
         dim = key[0].as_py()
         ids, x = table.column("vec_id").to_numpy(), matrix(table.column("v"), dim)
-        ids, once = np.unique(ids, return_index=True)
-        points, of = np.unique(x[once], axis=0, return_inverse=True)
+        ids, x = _once(ids, x)
+        points, of = np.unique(x, axis=0, return_inverse=True)
         by = np.lexsort((ids, of.ravel()))
-        edges, entry = build(points.astype(np.float32), DEGREE, BUILD_BEAM)
+        edges, entry = build(points / _unit(points), DEGREE, BUILD_BEAM)
         graph = _pack(points=points, edges=edges.astype(np.int32), entry=entry, ids=ids[by], of=of.ravel()[by])
         return pa.table({"dim": [dim], "shard": pa.array([key[1].as_py()], pa.int32()), "graph": pa.array([graph], pa.binary())})
 
@@ -70,15 +86,15 @@ def build_shards(rows: DataFrame, shards: int) -> DataFrame:
 def search_graph(graph: dict, ids: np.ndarray, q: np.ndarray, k: int):
     """(query row, vec_id, distance) of the k nearest found of each query in a packed graph, its own id left out."""
     points, edges, first = graph["points"], graph["edges"], np.searchsorted(graph["of"], np.arange(len(graph["points"]) + 1))
-    x = points.astype(np.float32)
-    out = []
+    scale = _unit(points, q)
+    x, out = points / scale, []
     for start in range(0, len(q), BATCH):
-        part = q[start:start + BATCH]
-        nodes, _, _ = beam_search(x, edges, part.astype(np.float32), int(graph["entry"]), max(SEARCH_BEAM, k + 1))
+        part = q[start:start + BATCH] / scale
+        nodes, _, _ = beam_search(x, edges, part, int(graph["entry"]), max(SEARCH_BEAM, k + 1))
         row, col = np.nonzero(nodes < len(x))
         node = nodes[row, col]
-        gap = points[node] - part[row]
-        d = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+        gap = x[node] - part[row]
+        d = np.sqrt(np.einsum("ij,ij->i", gap, gap)) * scale
         size = np.minimum(first[node + 1] - first[node], k + 1)  # k of a point's copies are enough, one may be the query
         which = np.repeat(np.arange(len(node)), size)
         copy = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
@@ -100,7 +116,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int
     give fewer rows. Rows without an id, and vectors that are null, empty,
     zero or hold null or non-finite components, take no part. Vectors are
     compared with those of their own length. A repeated id counts once on
-    either side. No vectors or queries give no rows. Recall is measured
+    either side, with the smallest of its vectors entry by entry. No vectors or queries give no rows. Recall is measured
     against brute force by ``recall``.
     """
     rows, asked = usable(vectors), usable(queries)
@@ -118,8 +134,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int
             return pa.table({c: pa.array([], t) for c, t in zip(names, types)})
         with np.load(io.BytesIO(left.column("graph")[0].as_py())) as f:
             graph = dict(f)
-        ids, once = np.unique(right.column("vec_id").to_numpy(), return_index=True)
-        row, vec, d = search_graph(graph, ids, matrix(right.column("v"), key[0].as_py())[once], k)
+        ids, q = _once(right.column("vec_id").to_numpy(), matrix(right.column("v"), key[0].as_py()))
+        row, vec, d = search_graph(graph, ids, q, k)
         return pa.table({"query_id": ids[row], "vec_id": vec, "score": d})
 
     python_ready(vectors.sparkSession)

@@ -108,3 +108,30 @@ def test_every_length_and_every_odd_row_is_answered(spark):
     linked = {r.vec_id: r for r in got if r.n_links}
     assert len(linked) >= 2 * 1040 - 2 and all(r.n_links == 1 and r.component_id == i - i % 2 and r.recall == 1.0 for i, r in linked.items())
     assert sorted(r.vec_id for r in got if not r.n_links and r.vec_id is not None)[-2:] == [2, 3]
+
+
+@pytest.mark.parametrize("size", [1e20, 1e200, 1e-200, 1.0])
+def test_nearest_of_large_and_small_values(spark, size):
+    x = np.random.default_rng(8).normal(size=(60, 8)) * size
+    df = table(spark, x)
+    found = ann.nearest(df, df.where("vec_id % 20 = 0"), 5, shard_rows=25).collect()
+    scaled = x / size
+    for q in (0, 20, 40):
+        d = np.sqrt(((scaled - scaled[q]) ** 2).sum(axis=1))
+        mine = sorted((r["rank"], r.vec_id, r.score) for r in found if r.query_id == q)
+        assert [v for _, v, _ in mine] == [v for v in np.argsort(d, kind="stable") if v != q][:5]
+        assert all(abs(s / size - d[v]) < 1e-9 for _, v, s in mine)
+
+
+def test_a_repeated_id_gives_the_same_answer_in_any_order(spark):
+    rows = [(0, [1.0, 0.0], 0), (1, [5.0, 5.0], 0), (1, [1.0, 0.5], 0), (2, [3.0, 0.0], 0), (0, [0.5, 9.0], 0)]
+    got = [ann.nearest(d, d.where("vec_id = 0"), 2).collect() for d in (spark.createDataFrame(r, "vec_id long, embedding array<double>, label int").coalesce(1)
+                                                                        for r in (rows, rows[::-1]))]
+    assert sorted(map(tuple, got[0])) == sorted(map(tuple, got[1])) == [(0, 1, 1, np.hypot(0.5, 8.5)), (0, 2, 2, np.hypot(2.5, 9.0))]
+
+
+def test_one_id_with_two_vectors_has_a_row_for_each(spark):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0, 0.01]), (7, [0.01, 1.0]), (8, [-1.0, -1.0])]
+    got = embedding_dedup.embedding_near_dedup(spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int"))
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got.collect()) == [
+        (5, 1, 5, True), (5, 1, 5, True), (6, 1, 5, False), (7, 1, 5, False), (8, 0, 8, True)]
