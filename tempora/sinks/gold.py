@@ -70,7 +70,8 @@ class GoldTable:
     # -- reads -------------------------------------------------------------
     def _read(self, dates: Sequence) -> DataFrame:
         """Rows of complete runs: only their own folders are listed and read."""
-        kept = [n for n in map(_iso, dates) if n in set(self.runs.names())]
+        complete = set(self.runs.names())
+        kept = [n for n in map(_iso, dates) if n in complete]
         paths = [f"{self.path}/as_of_date={n}/{ATTEMPT}={note['attempt']}" for n in kept if (note := self.runs.read(n))["rows"]]
         if not paths:
             return self.spark.createDataFrame([], STORED_SCHEMA)
