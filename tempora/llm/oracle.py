@@ -16,7 +16,9 @@ OP4 = rf"""
 WITH quality AS (SELECT doc_id, max(quality) AS q FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
 sized AS (
   SELECT d.doc_id, d.source, coalesce(len(regexp_extract_all(d.text, '{_WORD}')), 0)::BIGINT AS size,
-         -ln((('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, '')), 1, 12))::BIGINT + 1)::DOUBLE / 281474976710657.0)
+         coalesce(d.doc_id::VARCHAR, md5(coalesce(d.text, '')) || ':' ||
+                  (row_number() OVER (PARTITION BY d.doc_id, d.source, md5(coalesce(d.text, ''))) - 1)) AS name,
+         -ln((('0x' || substr(md5('mix:' || name), 1, 12))::BIGINT + 1)::DOUBLE / 281474976710657.0)
            / (CASE WHEN q.q IS NULL THEN 1.0 WHEN q.q > 0 THEN 2.0 ELSE 0.5 END)::DOUBLE AS k
   FROM documents d LEFT JOIN quality q ON d.doc_id = q.doc_id),
 src AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),

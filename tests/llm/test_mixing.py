@@ -67,3 +67,53 @@ def test_mixed_documents_repeat_rows(spark):
     assert out.columns == [*df.columns, "copies"]
     assert out.count() == sum(r.copies for r in mixing.mix_sources(df).collect())
     assert mixing.mix_sources(df.limit(0)).count() == 0 and mixing.mixed_documents(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("share", [1.0, 0.45])
+def test_rows_without_an_id_are_decided_one_by_one(spark, share):
+    rows = [(None, "w " * 100, "a", i) for i in range(70)] + [(None, None, "a", 70), (None, "", "a", 71)]
+    rows += [(i, "w " * 100, "b", i) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _key long")
+    got = mixing.mix_sources(df.repartition(7), share=share).collect()
+    assert len(got) == len(rows)
+    for source in "ab":
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 100
+    again = mixing.mix_sources(df.coalesce(1), share=share).collect()
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(got, key=key) == sorted(again, key=key)
+    mixed = mixing.mixed_documents(df, share=share)
+    assert mixed.columns == df.columns and {r._key for r in mixed.collect()} <= set(range(72))
+    assert mixed.count() == sum(r.copies for r in got)
+
+
+def test_sql_counts_rows_without_an_id(spark):
+    import duckdb
+    from oracle_check import compare
+
+    from tempora.llm.oracle import ORACLE
+
+    rng = random.Random(4)
+    texts = [None, "", "a b c", "d e", *(prose(rng, n) for n in (30, 60))]
+    rows = [(i if i % 3 else None, rng.choice(texts), rng.choice(["a", "b", None])) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    con.execute("CREATE TABLE labels AS SELECT i AS doc_id, i % 2 AS quality FROM range(100) t(i)")
+    got = mixing.mix_sources(df, mixing.quality_weights(labels)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+    ok, why = compare(got.toPandas(), con.execute(ORACLE["op4_mix_sources"]).fetchdf())
+    assert ok, why
+
+
+def test_key_ranges_are_even_for_any_weights(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 50)
+    df = spark.createDataFrame([(i, "w", "a") for i in range(4000)], "doc_id long, text string, source string")
+    weights = spark.createDataFrame([(i, (0.001, 0.003, 700.0)[i % 3]) for i in range(4000)], "id long, weight double")
+    rows, _ = mixing.plan(df, weights)
+    from pyspark.sql import functions as F
+
+    by = F.array(*[F.struct(F.lit(2.0**g).alias("w"), F.lit(n).alias("n")) for g, n in ((-10, 1334), (-9, 1333), (9, 1333))])
+    most = rows.groupBy(F.floor(mixing._place(F.col("_key"), by, F.lit(4000)) * 80)).count().agg(F.max("count")).first()[0]
+    assert most < 150
