@@ -7,7 +7,9 @@ Steps, each a Spark stage:
 3. the distinct fingerprints are joined with themselves by walking binary
    tries: node pairs descend together, differing bits add up, and a pair is
    dropped once it exceeds the budget. The top of the walk is the shuffle
-   key (a pair of prefixes), the rest runs inside the tasks;
+   key (a pair of prefixes), the rest runs inside the tasks. Where a pair of
+   prefixes holds many words Spark goes on walking it, a few bits a round,
+   until every pair is small;
 4. each task returns a spanning forest of its links, not all pairs, and the
    forests are joined by distributed connected components.
 
@@ -32,6 +34,8 @@ from tempora.llm.components import connected_components
 
 SEED = 42
 TRIE_ROWS = 16384  # distinct fingerprints below one top node, on average
+HOT = 4 * TRIE_ROWS  # distinct fingerprints of a pair of top nodes that is not split further
+STEP = 4  # bits by which a larger pair is split at a time
 CHUNK = 1 << 18  # node pairs walked at a time
 
 
@@ -128,6 +132,77 @@ def walk(a: np.ndarray, b: np.ndarray, depth: int, apart: int, budget: int, bloc
             stack.append((d + 1, *(x[live] for x in (alo, ahi, blo, bhi, err))))
 
 
+def _prefix(depth: int) -> F.Column:
+    return F.expr(f"shiftrightunsigned(w, {64 - depth})") if depth else F.lit(0).cast("long")
+
+
+def _flips(depth: int) -> F.Column:
+    """0 and every single bit of a prefix."""
+    return F.explode(F.expr("array(0L)" if not depth else
+                            f"concat(array(0L), transform(sequence(0, {depth - 1}), i -> shiftleft(1L, i)))"))
+
+
+def _hot_pairs(rolled: DataFrame, depth: int) -> DataFrame:
+    """(r, a, b): the node pairs at ``depth`` with at most one differing bit and more than HOT words."""
+    cells = pin(rolled.groupBy("r", _prefix(depth).alias("a")).agg(F.count("*").alias("n")))
+    sides = cells.withColumn("q", _flips(depth)).withColumn("b", F.col("a").bitwiseXOR(F.col("q")))
+    other = cells.select("r", F.col("a").alias("b"), F.col("n").alias("nb"))
+    both = sides.where("a <= b").join(other, ["r", "b"])
+    return pin(both.where(F.when(F.col("q") == 0, F.col("n")).otherwise(F.col("n") + F.col("nb")) > HOT).select("r", "a", "b"))
+
+
+def _split_pairs(rolled: DataFrame, pairs: DataFrame, depth: int, step: int, errors: int) -> DataFrame:
+    """(r, a, b, n): the pairs of nodes ``step`` bits below the given pairs that differ in at most ``errors`` bits, n words each."""
+    cells = pairs.select("r", F.col("a").alias("p")).union(pairs.select("r", F.col("b").alias("p"))).distinct()
+    kids = rolled.withColumn("p", _prefix(depth)).join(cells, ["r", "p"], "left_semi").groupBy(
+        "r", "p", _prefix(depth + step).alias("k")).agg(F.count("*").alias("n"))
+    kids = pin(kids)
+    left = kids.select("r", F.col("p").alias("a"), F.col("k").alias("ka"), F.col("n").alias("na"))
+    right = kids.select("r", F.col("p").alias("b"), F.col("k").alias("kb"), F.col("n").alias("nb"))
+    below = pairs.select("r", "a", "b").join(left, ["r", "a"]).join(right, ["r", "b"]).where(
+        (F.col("a") != F.col("b")) | (F.col("ka") <= F.col("kb"))).where(F.bit_count(F.col("ka").bitwiseXOR(F.col("kb"))) <= errors)
+    return pin(below.select("r", F.col("ka").alias("a"), F.col("kb").alias("b"),
+                            F.when(F.col("ka") == F.col("kb"), F.col("na")).otherwise(F.col("na") + F.col("nb")).alias("n")))
+
+
+def _members(rolled: DataFrame, pairs: DataFrame, depth: int) -> DataFrame:
+    """The words of both nodes of every pair."""
+    ends = pairs.select("r", "a", "b", F.col("a").alias("p")).union(pairs.where("a <> b").select("r", "a", "b", F.col("b").alias("p")))
+    return rolled.withColumn("p", _prefix(depth)).join(ends, ["r", "p"]).select(
+        "r", F.lit(depth).alias("depth"), F.col("a").alias("lo"), F.col("a").bitwiseXOR(F.col("b")).alias("flip"), "p", "w")
+
+
+def trie_shards(words: DataFrame, budget: int) -> DataFrame:
+    """(r, depth, lo, flip, p, w): the words of every node pair that a task walks.
+
+    ``r`` is the rotation of the words ``w``, ``lo`` and ``lo ^ flip`` are the
+    pair's prefixes of ``depth`` bits, ``p`` is the word's own. No pair has more
+    than HOT words: larger ones are replaced by the pairs below them that can
+    still hold links, a few bits a round, so a hot prefix is many shards.
+    """
+    blocks, block = budget, 64 // budget
+    n = max(1, words.count())
+    depth = max(0, min(block, math.ceil(math.log2(n / TRIE_ROWS))))
+    rolled = words.select("fp", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("r"))
+    rolled = rolled.withColumn("s", F.col("r") * block).select("r", F.expr(
+        "CASE WHEN s = 0 THEN fp ELSE shiftleft(fp, s) | shiftrightunsigned(fp, 64 - s) END").alias("w"))
+    sides = rolled.withColumn("p", _prefix(depth)).withColumn("q", _flips(depth)).select(
+        "r", F.lit(depth).alias("depth"), F.least("p", F.col("p").bitwiseXOR(F.col("q"))).alias("lo"), F.col("q").alias("flip"), "p", "w")
+    hot = _hot_pairs(rolled, depth)
+    if hot.isEmpty():
+        return sides
+    shards = sides.join(hot.select("r", F.col("a").alias("lo"), F.col("a").bitwiseXOR(F.col("b")).alias("flip")),
+                        ["r", "lo", "flip"], "left_anti").select("r", "depth", "lo", "flip", "p", "w")
+    while not hot.isEmpty():
+        step = min(STEP, (block if depth < block else 64) - depth)
+        below = _split_pairs(rolled, hot, depth, step, 1 if depth + step <= block else budget)
+        depth += step
+        done = F.lit(depth == 64) | (F.col("n") <= HOT)
+        shards = shards.union(_members(rolled, below.where(done), depth))
+        hot = below.where(~done)
+    return shards
+
+
 def trie_links(words: DataFrame, budget: int) -> DataFrame:
     """(u, v): a spanning forest of the links between the distinct 64-bit words of column ``fp``.
 
@@ -136,33 +211,21 @@ def trie_links(words: DataFrame, budget: int) -> DataFrame:
     """
     if budget <= 0 or budget >= 16:
         raise ValueError("the bit budget must be from 1 to 15")
-    blocks, block = budget, 64 // budget
-    n = max(1, words.count())
-    depth = max(0, min(block, math.ceil(math.log2(n / TRIE_ROWS))))
-    rolled = words.select("fp", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("r"))
-    rolled = rolled.withColumn("s", F.col("r") * block).withColumn(
-        "w", F.expr("CASE WHEN s = 0 THEN fp ELSE shiftleft(fp, s) | shiftrightunsigned(fp, 64 - s) END"))
-    top = F.expr(f"shiftrightunsigned(w, {64 - depth})") if depth else F.lit(0).cast("long")
-    sides = rolled.withColumn("p", top).withColumn(
-        "q", F.explode(F.expr("array(0L)" if not depth else
-                              f"concat(array(0L), transform(sequence(0, {depth - 1}), i -> shiftleft(1L, i)))")))
-    sides = sides.select("r", F.least("p", F.col("p").bitwiseXOR(F.col("q"))).alias("lo"),
-                         F.col("q").alias("flip"), "p", "w", "s")
+    block = 64 // budget
 
     def pairs(key, rows):
-        r, _, flip = (x.as_py() for x in key)
+        r, depth, lo, flip = (x.as_py() for x in key)
         w = rows.column("w").to_numpy().view(np.uint64)
-        p = rows.column("p").to_numpy()
         if flip:
-            low = p == p.min()
-            if low.all():
+            low = rows.column("p").to_numpy() == lo
+            if low.all() or not low.any():
                 return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
             a, b = np.sort(w[low]), np.sort(w[~low])
             both = np.concatenate((a, b))
         else:
             a = b = both = np.sort(w)
         label, shift = np.arange(len(both)), len(a) if flip else 0
-        for i, j in walk(a, b, depth, int(flip > 0), budget, block):
+        for i, j in walk(a, b, depth, (flip & (2**64 - 1)).bit_count(), budget, block):
             label = merge_labels(label, i, j + shift)
         far = np.flatnonzero(label != np.arange(len(both)))
         s = r * block
@@ -170,7 +233,7 @@ def trie_links(words: DataFrame, budget: int) -> DataFrame:
         back = back.view(np.int64)
         return pa.table({"u": pa.array(back[far]), "v": pa.array(back[label[far]])})
 
-    return group_arrow(sides, ["r", "lo", "flip"], pairs, "u long, v long").distinct()
+    return group_arrow(trie_shards(words, budget), ["r", "depth", "lo", "flip"], pairs, "u long, v long").distinct()
 
 
 def simhash_near_dedup(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataFrame:

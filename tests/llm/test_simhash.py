@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from helpers import docs, prose
 
@@ -95,6 +96,27 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch):
     assert classes(got, words) == classes(near, words)
 
 
+@pytest.mark.parametrize("step", [4, 7])
+def test_a_hot_prefix_is_many_shards(spark, monkeypatch, step):
+    import tempora.llm.simhash as s
+
+    monkeypatch.setattr(s, "TRIE_ROWS", 64)
+    monkeypatch.setattr(s, "HOT", 96)
+    monkeypatch.setattr(s, "STEP", step)
+    rng = np.random.default_rng(12)
+    # a third of all words near one, so that they share a prefix in most rotations; then ends of the range and lone words
+    centre = -(2**63) + 12345
+    hot = [centre ^ sum(1 << int(x) for x in rng.choice(63, int(rng.integers(1, 4)), replace=False)) for _ in range(900)]
+    lone = rng.integers(-(2**63), 2**63 - 1, 1500).tolist()
+    words = sorted({*hot, *lone, *(w ^ 0x8001 for w in lone[:300]), 0, -1, -(2**63), 2**63 - 1, 7, -8, centre})
+    near = [(a, b) for i, a in enumerate(words) for b in words[i + 1:] if ((a ^ b) & (2**64 - 1)).bit_count() <= 4]
+    df = spark.createDataFrame([(w,) for w in words], "fp long")
+    sizes = s.trie_shards(df, 4).groupBy("r", "depth", "lo", "flip").count().collect()
+    assert max(r["count"] for r in sizes) <= 96 and len({r.depth for r in sizes}) > 2
+    got = [(min(r.u, r.v), max(r.u, r.v)) for r in trie_links(df, 4).collect()]
+    assert classes(got, words) == classes(near, words)
+
+
 def test_components_of_long_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 1), (200, 201), (201, 200), (200, 201)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
