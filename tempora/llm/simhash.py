@@ -36,7 +36,7 @@ SEED = 42
 TRIE_ROWS = 16384  # distinct fingerprints below one top node, on average
 HOT = 4 * TRIE_ROWS  # distinct fingerprints of a pair of top nodes that is not split further
 STEP = 4  # bits by which a larger pair is split at a time
-CHUNK = 1 << 18  # node pairs walked at a time
+CHUNK = 1 << 18  # node pairs walked, and word pairs compared, at a time
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
@@ -113,12 +113,14 @@ def walk(a: np.ndarray, b: np.ndarray, depth: int, apart: int, budget: int, bloc
             continue
         small = ((ahi - alo) * (bhi - blo) <= leaf) | (d == 64)
         if small.any():
-            i, j = _expand(alo[small], ahi[small], blo[small], bhi[small])
-            if same:
-                i, j = i[i < j], j[i < j]
-            near = np.bitwise_count(a[i] ^ b[j]) <= budget
-            if near.any():
-                yield i[near], j[near]
+            ends = [x[small] for x in (alo, ahi, blo, bhi)]
+            for k in range(0, len(ends[0]), CHUNK // leaf):
+                i, j = _expand(*(x[k:k + CHUNK // leaf] for x in ends))
+                if same:
+                    i, j = i[i < j], j[i < j]
+                near = np.bitwise_count(a[i] ^ b[j]) <= budget
+                if near.any():
+                    yield i[near], j[near]
             alo, ahi, blo, bhi, err = (x[~small] for x in (alo, ahi, blo, bhi, err))
         if not len(alo):
             continue
