@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-A model file is compiled to a transducer: the normaliser's rewrite (dummy
-prefix, space mark), one arc per piece and, for characters that no piece
-has, byte arcs. Composed with an input it is a lattice of pieces; the
-encoding is its shortest path in the tropical semiring.
+A model file is compiled to a transducer: the normaliser's rewrite (character
+map, extra spaces, dummy prefix, space mark: see ``normaliser``), one arc per
+piece and, for characters that no piece has, byte arcs. Composed with an input
+it is a lattice of pieces; the encoding is its shortest path in the tropical
+semiring.
 
 * Unigram models: an arc weighs minus its piece's score.
 * BPE models: the order of merges decides, not a sum of scores. Which
@@ -29,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempora.llm.common import map_arrow
+from tempora.llm.normaliser import MARK, Normaliser, character_map
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MARK = "▁"
 UNKNOWN, USER, BYTE = 2, 4, 6  # fixed values: kinds of pieces in the file
 CACHE = 250_000  # words whose paths a worker remembers at least
 INFINITE = float("inf")
@@ -98,11 +99,10 @@ class Transducer:
         self.bpe = trainer.get(3, 1) == 2
         if trainer.get(3, 1) not in (1, 2):
             raise ValueError("only unigram and BPE models are supported")
-        if normalizer.get(2):
-            raise ValueError("models with a character map are not supported")
         if any(kind == USER for _, _, kind in pieces) or trainer.get(24, 0):
             raise ValueError("models with user-defined pieces or the mark as a suffix are not supported")
         self.prefix, self.squeeze = bool(normalizer.get(3, 1)), bool(normalizer.get(4, 1))
+        self.normalize = Normaliser(character_map(normalizer.get(2, b"")), self.prefix, self.squeeze, bool(normalizer.get(5, 1)))
         self.ids = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == 1}
         self.score = {p: s for p, s, kind in pieces if kind == 1}
         self.unknown = next(i for i, (_, _, kind) in enumerate(pieces) if kind == UNKNOWN)
@@ -148,12 +148,6 @@ class Transducer:
     def __reduce__(self):
         return Transducer, (self.data,)
 
-    def normalize(self, text: str) -> str:
-        if self.squeeze:
-            text = re.sub(" +", " ", text.strip(" "))
-        text = text.replace(" ", MARK)
-        return MARK + text if self.prefix and text else text
-
     def merged(self, text: str, last: list[str] | None = None) -> list[str]:
         """What merging makes of a short string: best score first, leftmost of equals. last gets the parts of the final merge."""
         out = list(text)
@@ -271,7 +265,7 @@ class Transducer:
     def decode(self, ids) -> str:
         """The text of the ids; bytes that are no UTF-8 become U+FFFD."""
         text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        return text[1:] if (self.prefix or self.squeeze) and text.startswith(" ") else text
 
 
 def load(path: str = MODEL) -> Transducer:
