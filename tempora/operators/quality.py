@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tempora import schemas as S
@@ -35,6 +35,24 @@ def tag(df: DataFrame, table: str, check_nulls: bool = True, check_op: bool = Tr
     return df.withColumn("reject_reason", reject_reason(required, check_op))
 
 
+def observed(tagged: DataFrame) -> tuple[DataFrame, Observation]:
+    """The tagged rows, and what the pass that next computes them counts on the way (no job of its own).
+
+    rejected, rejected_hash (the sum of the rows' hashes, None without one);
+    of the sound rows months (ingest months, comma-joined) and reached (newest
+    arrival). Nothing may shuffle the rows before that pass ends: only the tasks of
+    a job's last stage are counted once where an executor is lost.
+    """
+    counts = Observation()
+    sound = F.col("reject_reason").isNull()
+    month = F.when(sound, F.trunc("transaction_date", "month").cast("string"))
+    return tagged.observe(
+        counts, F.count_if(~sound).alias("rejected"),
+        F.sum(F.when(~sound, F.xxhash64(*tagged.columns)).cast("decimal(38,0)")).alias("rejected_hash"),
+        F.concat_ws(",", F.sort_array(F.collect_set(month))).alias("months"),
+        F.max(F.when(sound, F.col("ingestion_ts"))).alias("reached")), counts
+
+
 def split(df: DataFrame, table: str, check_nulls: bool = True, check_op: bool = True) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected); accepted + rejected = input, row for row."""
     t = tag(df, table, check_nulls, check_op)

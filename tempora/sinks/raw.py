@@ -24,8 +24,9 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,6 +143,13 @@ def in_months(stored: DataFrame, months: Sequence) -> DataFrame:
     return stored.where(F.col(PARTITION_COLUMN).isin([date_lit(m) for m in months])) if months else stored.limit(0)
 
 
+def _counted(rows: DataFrame) -> tuple[DataFrame, int]:
+    """The rows as a checkpoint, and their number, counted in the pass that writes it."""
+    number = Observation()
+    rows = rows.observe(number, F.count(F.lit(1)).alias("rows")).checkpoint()
+    return rows, number.get["rows"]
+
+
 def append_raw(spark: SparkSession, batch: DataFrame, path: str, table: str,
                quarantine: str | None = None, delivery: str | None = None) -> dict:
     """Gate, check, de-duplicate and append one delivery; return its counts.
@@ -153,40 +161,45 @@ def append_raw(spark: SparkSession, batch: DataFrame, path: str, table: str,
     quarantine holds one folder per delivery, named ``delivery`` or by the
     rows' contents, and a repeated delivery overwrites its own folder. Rows
     stored already are skipped. Only the months in the delivery are compared
-    with the store.
+    with the store. The gates' counts are observed in the passes that write the
+    rows: a sound delivery is four passes (tagged rows, conflicts, new rows, the
+    store's files).
     """
     ensure_checkpoint_dir(spark)
     tagged = quality.tag(batch, table)
     if "transaction_date" not in tagged.columns:
         tagged = tagged.withColumn("transaction_date", F.to_date("ingestion_ts"))
     cols = [f.name for f in S.raw_schema(table, derived=True)]
-    tagged = tagged.select(*cols, "reject_reason").checkpoint()  # read several times below
+    tagged, gate = quality.observed(tagged.select(*cols, "reject_reason"))
+    tagged = tagged.checkpoint()  # read several times below
+    seen = gate.get
     sound = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
     stored = None
     if path_exists(spark, path):
-        stored = in_months(read_raw(spark, path, table, with_partition=True), months_of(sound))
-    clashes = quality.key_conflicts(sound, stored, table).checkpoint()
+        months = [date.fromisoformat(m) for m in seen["months"].split(",") if m]
+        stored = in_months(read_raw(spark, path, table, with_partition=True), months)
+    clashes, clashing = _counted(quality.key_conflicts(sound, stored, table))
     rejected = tagged.where(F.col("reject_reason").isNotNull())
-    if clashes.take(1):
+    found, reached = (seen["rejected"], seen["rejected_hash"]), seen["reached"]
+    if clashing:
         conflicting = quality.matching(sound, clashes, table, "left_semi").withColumn("reject_reason", F.lit("key conflict"))
         rejected = rejected.unionByName(conflicting)
         sound = quality.matching(sound, clashes, table, "left_anti")
-    found = rejected.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*rejected.columns).cast("decimal(38,0)"))).first()
+        found = rejected.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*rejected.columns).cast("decimal(38,0)"))).first()
+        reached = sound.agg(F.max("ingestion_ts")).first()[0]
     if found[0] and not quarantine:
         reasons = {r[0]: r[1] for r in rejected.groupBy("reject_reason").count().collect()}
         raise DeliveryError(f"{table}: delivery refused, {found[0]} rows break a rule: {reasons}")
     new = quality.drop_replays(sound, table)
     if stored is not None:
         new = quality.not_stored_yet(new, stored, table)
-    new = new.checkpoint()
-    counts = new.agg(F.count(F.lit(1)), F.max("ingestion_ts")).first()
-    reached = sound.agg(F.max("ingestion_ts")).first()[0]
-    if counts[0]:
+    new, accepted = _counted(new)
+    if accepted:
         _deliver(spark, new, path)
         compact_raw(spark, path, table, COMPACT_EVERY)
     if found[0]:
         rejected.write.mode("overwrite").parquet(os.path.join(quarantine, f"delivery={delivery or format(abs(int(found[1])), 'x')}"))
-    return {"path": path, "accepted": counts[0], "rejected": found[0], "accepted_until": reached}
+    return {"path": path, "accepted": accepted, "rejected": found[0], "accepted_until": reached}
 
 
 def raw_path(root: str, table: str) -> str:

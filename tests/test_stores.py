@@ -263,3 +263,28 @@ def test_incremental_reads_arrivals_and_touched_partitions(spark, stores):
     parts = silver.parts_with([dt.date(1998, 7, 15)])
     assert 0 < len(parts) <= 2 < len(silver.tables[S.PURCHASE].manifest()["parts"])
     assert silver.item_parts(parts) == sorted(map(int, parts)) and silver.parts_with([None]) == []
+
+
+def test_an_append_counts_in_the_passes_that_write(spark):
+    path, quarantine = scratch_path(spark, "raw-observed"), scratch_path(spark, "raw-observed-bad")
+    log = TD.purchase_cdc(spark, SF).checkpoint()
+    raw.append_raw(spark, log.where("purchase_id % 2 = 0"), path, S.PURCHASE)
+    sc = spark.sparkContext
+    sc.setJobGroup("append", "append")
+    done = raw.append_raw(spark, log, path, S.PURCHASE)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("append"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    odd = log.where("purchase_id % 2 <> 0")
+    assert done["accepted"] == odd.count() and done["rejected"] == 0
+    assert done["accepted_until"] == log.agg(F.max("ingestion_ts")).first()[0]
+    assert jobs <= 12  # 21 when every count was a job of its own
+    broken = log.withColumn("op", F.when(F.col("purchase_id") % 5 == 0, "?").otherwise(F.col("op")))
+    bad = log.where("purchase_id % 5 = 0")
+    with pytest.raises(raw.DeliveryError, match=f"{bad.count()} rows break a rule"):
+        raw.append_raw(spark, broken, path, S.PURCHASE)
+    for _ in range(2):  # a repeated delivery overwrites its own folder
+        assert raw.append_raw(spark, broken, path, S.PURCHASE, quarantine)["rejected"] == bad.count()
+    assert spark.read.parquet(quarantine).count() == bad.count() and len(folders(spark, quarantine)) == 1
+    nothing = raw.append_raw(spark, log.limit(0), path, S.PURCHASE)
+    assert nothing | {"path": ""} == {"path": "", "accepted": 0, "rejected": 0, "accepted_until": None}
+    assert rows(raw.read_raw(spark, path, S.PURCHASE).drop("transaction_date")) == rows(log)
